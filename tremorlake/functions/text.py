@@ -13,7 +13,8 @@ MISSING_MARKERS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 BLANKS = " \t\r\n"
-DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# Last letters a cast would accept but that make a text no number.
+TYPE_SUFFIXES = ("d", "f", "D", "F")
 
 
 def _stripped(text: Column) -> Column:
@@ -21,8 +22,10 @@ def _stripped(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Decimal text to double; suffixed or special literals do not count as numbers."""
-    return F.when(text.rlike(DECIMAL), _stripped(text).try_cast("double"))
+    """Decimal text to double; type suffixes and ``nan`` do not count as numbers."""
+    trimmed = _stripped(text)
+    number = trimmed.try_cast("double")
+    return F.when(~F.right(trimmed, F.lit(1)).isin(*TYPE_SUFFIXES) & ~F.isnan(number), number)
 
 
 def to_time(text: Column) -> Column:

@@ -11,7 +11,7 @@ from tremorlake.functions import catalogue, geo
 from tremorlake.operators.aftershocks import snapshot_aggregates
 from tremorlake.operators.isolation import EPICENTRE, find_mainshocks
 from tremorlake.session import cut_lineage
-from tremorlake.schema import DEFAULT_DEPTH_KM, FEATURE_TABLE, LABEL_WINDOW_HOURS, SNAPSHOT_HOURS
+from tremorlake.schema import DEFAULT_DEPTH_KM, LABEL_WINDOW_HOURS, SNAPSHOT_HOURS, TARGET
 
 
 def build_feature_table(
@@ -27,7 +27,7 @@ def build_feature_table(
     mainshocks = cut_lineage(find_mainshocks(events), "mainshocks")
     windows = snapshot_aggregates(mainshocks.select(*EPICENTRE).distinct(), events, snapshots)
     rows = mainshocks.join(windows, list(EPICENTRE)).select(
-        F.col("event_id").alias("mainshock_id"),
+        F.col("event_id").cast("string").alias("mainshock_id"),
         F.col("time_utc").alias("mainshock_time"),
         "snapshot_hours",
         F.col("magnitude").alias("mainshock_magnitude"),
@@ -40,7 +40,7 @@ def build_feature_table(
         "max_mag_susulan_6jam",
         "max_mag_susulan_24jam",
         catalogue.omori_rate(F.col("snapshot_hours")).alias("omori_rate_est"),
-        FEATURE_TABLE.names[-1],
+        TARGET,
     )
     if label_complete:
         window_end = F.col("mainshock_time") + F.make_dt_interval(

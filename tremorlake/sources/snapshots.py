@@ -1,76 +1,73 @@
-"""Raw and processed CSV snapshots: one file, the newest, or all of them."""
+"""Raw and processed CSV snapshots: one, the newest, or all of them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from tremorlake.functions import text
 from tremorlake.operators.dedup import first_per_key
-from tremorlake.schema import CLEAN, RAW_TEXT
+from tremorlake.schema import CLEAN, RAW_TEXT, TIME_COLUMNS
 from tremorlake.session import ready
 
-# File name patterns, which carry the time of the run.
+# Name patterns. A snapshot is one file, or one folder of part
+# files, under a name that carries the time of the run.
 RAW_PATTERN = "gempa_*.csv"
 PROCESSED_PATTERN = "gempa_*_processed.csv"
+SNAPSHOT_NAME = r"(gempa_[^/]*\.csv)"
 
-
-def _csv(spark: SparkSession, paths: str | list[str], schema) -> DataFrame:
-    return (
-        ready(spark)
-        .read.schema(schema)
-        .options(header=True, escape='"', enforceSchema=False)
-        .csv(paths)
-    )
+_CSV = {"header": True, "escape": '"', "enforceSchema": False}
 
 
-def _read_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Raw cells as text with the usual no-value markers turned to null."""
-    raw = _csv(spark, paths, RAW_TEXT)
-    return raw.withColumns({c: text.without_markers(F.col(c)) for c in RAW_TEXT.names})
+def _snapshot_name(path: Column) -> Column:
+    return F.regexp_extract(path, SNAPSHOT_NAME, 1)
 
 
-def scan_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """One raw snapshot; a path that is missing or empty gives an empty frame."""
+def _if_found(read: Callable[[], DataFrame], otherwise: Callable[[], DataFrame]) -> DataFrame:
     try:
-        return _read_text(spark, path)
+        return read()
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return spark.createDataFrame([], RAW_TEXT)
+        return otherwise()
+
+
+def _raw(spark: SparkSession, path: str, *extra: Column) -> DataFrame:
+    """Raw cells as text with the usual no-value markers turned to null."""
+    rows = ready(spark).read.schema(RAW_TEXT).options(**_CSV).csv(path)
+    return rows.select(*[text.without_markers(F.col(c)).alias(c) for c in RAW_TEXT.names], *extra)
+
+
+def scan_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """One raw snapshot; a path that is missing or empty gives an empty frame."""
+    return _if_found(lambda: _raw(spark, path), lambda: spark.createDataFrame([], RAW_TEXT))
 
 
 def list_snapshots(spark: SparkSession, folder: str, pattern: str = RAW_PATTERN) -> DataFrame:
-    """Names and paths of the snapshot files. Only the listing is read, no content."""
-    listing = (
-        spark.read.format("binaryFile")
-        .options(pathGlobFilter=pattern, recursiveFileLookup=True)
-        .load(folder)
-        .select("path")
-    )
-    return listing.withColumn("snapshot", F.element_at(F.split("path", "/"), -1))
+    """Paths and names of the snapshot files. Only the listing is read, no content."""
+    listing = spark.read.format("binaryFile").load(f"{folder}/{pattern}").select("path")
+    return listing.withColumn("snapshot", _snapshot_name(F.col("path")))
 
 
 def scan_latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw snapshot whose name sorts last; only that file is read."""
-    newest = list_snapshots(spark, folder).agg(F.max_by("path", "snapshot").alias("path")).first()
-    return scan_raw_csv(spark, newest["path"] or f"{folder}/none")
+    """The raw snapshot whose name sorts last; only that one is read."""
+
+    def newest() -> DataFrame:
+        name = list_snapshots(spark, folder).agg(F.max("snapshot").alias("name")).first()["name"]
+        return _raw(spark, f"{folder}/{name}")
+
+    return _if_found(newest, lambda: spark.createDataFrame([], RAW_TEXT))
 
 
 def scan_all_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """All raw snapshots in one scan, each row with its file name as ``snapshot``."""
-    raw = (
-        ready(spark)
-        .read.schema(RAW_TEXT)
-        .options(
-            header=True, escape='"', enforceSchema=False,
-            pathGlobFilter=RAW_PATTERN, recursiveFileLookup=True,
-        )
-        .csv(folder)
+    """All raw snapshots in one scan, each row with the name of its ``snapshot``."""
+    return _raw(
+        spark, f"{folder}/{RAW_PATTERN}", _snapshot_name(F.col("_metadata.file_path")).alias("snapshot")
     )
-    cells = [text.without_markers(F.col(c)).alias(c) for c in RAW_TEXT.names]
-    return raw.select(*cells, F.col("_metadata.file_name").alias("snapshot"))
 
 
 def scan_processed_union(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,21 +76,19 @@ def scan_processed_union(spark: SparkSession, folder: str) -> DataFrame:
     Rows without an event id count as one event, and rows without a readable
     time leave only after that choice. Order by ``time_utc`` where it is shown.
     """
-    files = (
-        ready(spark)
-        .read.schema(CLEAN)
-        .options(
-            header=True, escape='"', enforceSchema=False,
-            pathGlobFilter=PROCESSED_PATTERN, recursiveFileLookup=True,
-            timestampFormat="yyyy-MM-dd HH:mm:ssXXX",
-        )
-        .csv(folder)
+    as_written = T.StructType(
+        [T.StructField(f.name, T.StringType()) if f.name in TIME_COLUMNS else f for f in CLEAN]
     )
+    files = ready(spark).read.schema(as_written).options(**_CSV).csv(f"{folder}/{PROCESSED_PATTERN}")
+    path = F.col("_metadata.file_path")
     placed = files.select(
         "*",
-        F.col("_metadata.file_name").alias("_file"),
+        _snapshot_name(path).alias("_snapshot"),
+        path.alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    first = first_per_key(placed, ["event_id"], [F.col("_file"), F.col("_block"), F.col("_row")])
-    return first.drop("_file", "_block", "_row").filter(F.col("time_utc").isNotNull())
+    order = [F.col(c) for c in ("_snapshot", "_path", "_block", "_row")]
+    first = first_per_key(placed, ["event_id"], order).select(*CLEAN.names)
+    typed = first.withColumns({c: text.to_time(F.col(c)) for c in TIME_COLUMNS})
+    return typed.filter(F.col("time_utc").isNotNull())

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from tremorlake.schema import CLEAN, FEATURE_TABLE
 from tremorlake.session import ready
@@ -12,7 +12,7 @@ from tremorlake.session import ready
 def scan_events_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """The clean event table; name the columns a job needs and only those are read."""
     events = ready(spark).read.schema(CLEAN).parquet(path)
-    return events.select(*columns) if columns else events
+    return events.select(*(columns or CLEAN.names))
 
 
 def scan_events_jdbc(
