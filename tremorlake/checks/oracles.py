@@ -514,3 +514,44 @@ FROM versions v LEFT JOIN promoted p USING (model_name, version) LEFT JOIN runs
     + f"SELECT {CLEAN_VIEW} FROM clean",
 }
 ORACLES["sink_raw_snapshot"] = ORACLES["scan_raw_csv"]
+
+_INPUTS = (
+    "mainshock_magnitude", "mainshock_depth", "jam_sejak_mainshock", "count_susulan_1jam", "count_susulan_6jam",
+    "count_susulan_24jam", "max_mag_susulan_6jam", "max_mag_susulan_24jam", "omori_rate_est", "zona_sesar",
+)
+_SQUARED = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _INPUTS)
+ORACLES["tomek_links"] = _FEAT + f""", rows AS (
+  SELECT mainshock_id || '|' || snapshot_hours AS id, * FROM feat),
+nearest AS (
+  SELECT a.id, arg_min(b.id, (d, b.id)) AS neighbor, any_value(a.label_susulan_besar_24jam) AS y
+  FROM rows a JOIN rows b ON a.id <> b.id, LATERAL (SELECT {_SQUARED} AS d)
+  GROUP BY a.id)
+SELECT n.id FROM nearest n JOIN nearest m ON m.id = n.neighbor AND m.neighbor = n.id WHERE n.y <> m.y"""
+
+_DRAW = "CAST('0x' || substr(md5(concat_ws('|', '42:{n}', id, copy)), 1, 12) AS BIGINT)"
+_BETWEEN = ", ".join(
+    f"round(v[{i}] + share * (w[{i}] - v[{i}]), 6) AS {c}" for i, c in enumerate(_INPUTS, start=1)
+)
+ORACLES["smote_oversample"] = _FEAT + f""", rows AS (
+  SELECT mainshock_id || '|' || snapshot_hours AS id, label_susulan_besar_24jam AS y, *,
+         [{", ".join(f"CAST({c} AS DOUBLE)" for c in _INPUTS)}] AS v FROM feat),
+sizes AS (
+  SELECT least(count(*) FILTER (y = 1), count(*) FILTER (y = 0)) AS few,
+         greatest(count(*) FILTER (y = 1), count(*) FILTER (y = 0)) AS many,
+         CASE WHEN count(*) FILTER (y = 1) < count(*) FILTER (y = 0) THEN 1 ELSE 0 END AS minority FROM rows),
+small AS (
+  SELECT rows.*, few, many, min(id) OVER (PARTITION BY v) AS same,
+         row_number() OVER (ORDER BY md5('42|' || id)) AS place
+  FROM rows, sizes WHERE y = minority),
+near AS (
+  SELECT a.id, b.v AS w, row_number() OVER (PARTITION BY a.id ORDER BY d, b.same) - 1 AS pick
+  FROM small a JOIN small b ON a.id <> b.id, LATERAL (SELECT {_SQUARED} AS d)),
+copies AS (
+  SELECT *, unnest(range((many - few) // few + CASE WHEN place <= (many - few) % few THEN 1 ELSE 0 END)) AS copy
+  FROM small),
+drawn AS (
+  SELECT id, y, v, copy, {_DRAW.format(n=1)} % least(5, few - 1) AS pick, {_DRAW.format(n=2)} / 281474976710656.0 AS share
+  FROM copies)
+SELECT id, y, false AS synthetic, {", ".join(f"round(v[{i}], 6) AS {c}" for i, c in enumerate(_INPUTS, start=1))} FROM rows
+UNION ALL
+SELECT id || '#' || copy, y, true, {_BETWEEN} FROM drawn JOIN near USING (id, pick)"""

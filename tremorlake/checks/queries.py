@@ -17,12 +17,15 @@ from tremorlake.operators import (
     gates,
     isolation,
     metrics,
+    model,
     registry,
+    resample,
     split,
     summary,
 )
 from tremorlake.plans import catalogue as plans
 from tremorlake.plans import features as feature_plan
+from tremorlake.plans import training
 from tremorlake.schema import FEATURES, RAW_COLUMNS, TARGET
 from tremorlake.session import cut_lineage, new_path, ready
 from tremorlake.sources import feeds, sinks, snapshots, tables
@@ -631,3 +634,68 @@ def stream_ingest_dedup(spark, sf_dir):
     table, state = new_path(spark, "stream-table"), new_path(spark, "stream-state")
     ingest.append_screened(ingest.read_landing(spark, f"{landing}/*"), table, state).awaitTermination()
     return _clean_view(ingest.read_screened(spark, table))
+
+
+# -- class balancing and models ------------------------------------------------------
+
+
+def _keyed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_lineage(resample.keyed(_features(spark, sf_dir), training.KEYS), "keyed")
+
+
+@query
+def tomek_links(spark, sf_dir):
+    return resample.tomek_links(_keyed_features(spark, sf_dir))
+
+
+@query
+def smote_oversample(spark, sf_dir):
+    rows = resample.smote_oversample(_keyed_features(spark, sf_dir))
+    return rows.select("id", "y", "synthetic", *[_r(F.get("v", F.lit(i))).alias(f) for i, f in enumerate(FEATURES)])
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return training.prepare_train_test(_features(spark, sf_dir))
+
+
+_FITTED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+
+def _stored_model(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Path of a fitted model and its test rows, fitted once per session and data."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        train, test = _split(spark, sf_dir)
+        path = new_path(spark, "model")
+        fitted = model.train_gbt(training.resampled_train(train), model.LIGHT)
+        model.save_model(fitted, path, model.DECISION_THRESHOLD, spark)
+        _FITTED[key] = (path, test)
+    return _FITTED[key]
+
+
+@query
+def train_gbt(spark, sf_dir):
+    path, test = _stored_model(spark, sf_dir)
+    fitted, threshold = model.load_model(path, spark)
+    return metrics.three_metrics(model.batch_score(fitted, test, threshold), threshold)
+
+
+@query
+def train_variations(spark, sf_dir):
+    runs, _ = training.run_variations(*_split(spark, sf_dir))
+    return runs.drop("params")
+
+
+@query
+def batch_score(spark, sf_dir):
+    path, test = _stored_model(spark, sf_dir)
+    fitted, threshold = model.load_model(path, spark)
+    scored = model.batch_score(fitted, test, threshold)
+    return scored.select("mainshock_id", "snapshot_hours", "y", _r("proba"), "prediction")
+
+
+@query
+def feature_importance(spark, sf_dir):
+    path, _ = _stored_model(spark, sf_dir)
+    fitted, _ = model.load_model(path, spark)
+    return model.feature_importance(fitted, spark)

@@ -120,7 +120,9 @@ def smote_oversample(
     )
 
     def draw(purpose: int) -> Column:
-        return F.xxhash64("id", "copy", F.lit(seed), F.lit(purpose))
+        """A 48-bit number from the digest of the row, its copy number and the purpose."""
+        digits = F.substring(row_digest("id", "copy", salt=f"{seed}:{purpose}"), 1, 12)
+        return F.conv(digits, 16, 10).cast("long")
 
     # Neighbour number among the k nearest rows: copies of the row itself come first.
     own = F.least(F.col("copies") - 1, F.lit(k))
@@ -129,7 +131,7 @@ def smote_oversample(
         F.lit(0).cast("long"),
         lambda total, o: total + o["held"],
     )
-    pick = F.pmod(draw(1), F.least(F.lit(k).cast("long"), reachable))
+    pick = draw(1) % F.least(F.lit(k).cast("long"), reachable)
     walked = F.aggregate(
         "others",
         F.struct(
@@ -139,7 +141,7 @@ def smote_oversample(
             state["w"].isNull() & (state["left"] < o["held"]), F.struct(state["left"].alias("left"), o["w"].alias("w"))
         ).otherwise(F.struct((state["left"] - o["held"]).alias("left"), state["w"].alias("w"))),
     )["w"]
-    share = F.pmod(draw(2), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    share = draw(2) / F.lit(float(1 << 48))
     toward = F.when(F.col("pick") < 0, F.col("v")).otherwise(walked)
     made = (
         seeds.withColumns({"pick": pick - own, "share": share})
