@@ -541,13 +541,13 @@ def union_feeds(spark, sf_dir):
 
 @query
 def time_split(spark, sf_dir):
-    rows = split.time_split(_features(spark, sf_dir))
+    rows = split.time_split(_stored_features(spark, sf_dir))
     return rows.select("mainshock_id", "mainshock_time", "snapshot_hours", "part")
 
 
 @query
 def stratified_split(spark, sf_dir):
-    rows = split.stratified_split(_features(spark, sf_dir), ["mainshock_id", "snapshot_hours"])
+    rows = split.stratified_split(_stored_features(spark, sf_dir), ["mainshock_id", "snapshot_hours"])
     return rows.select("mainshock_id", "snapshot_hours", TARGET, "part")
 
 
@@ -655,7 +655,7 @@ def smote_oversample(spark, sf_dir):
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return training.prepare_train_test(_features(spark, sf_dir))
+    return training.prepare_train_test(_stored_features(spark, sf_dir))
 
 
 _FITTED: dict[tuple[str, str], tuple[str, DataFrame]] = {}

@@ -13,8 +13,9 @@ MISSING_MARKERS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 BLANKS = " \t\r\n"
-# Last letters a cast would accept but that make a text no number.
-TYPE_SUFFIXES = ("d", "f", "D", "F")
+# Last letters a cast would accept but that make a text no number
+# (type suffixes, "inf" and "nan").
+NO_NUMBER_ENDS = ("d", "D", "f", "F", "n", "N")
 
 
 def _stripped(text: Column) -> Column:
@@ -22,10 +23,9 @@ def _stripped(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Decimal text to double; type suffixes and ``nan`` do not count as numbers."""
+    """Decimal text to double; type suffixes and special literals do not count as numbers."""
     trimmed = _stripped(text)
-    number = trimmed.try_cast("double")
-    return F.when(~F.right(trimmed, F.lit(1)).isin(*TYPE_SUFFIXES) & ~F.isnan(number), number)
+    return F.when(~F.right(trimmed, F.lit(1)).isin(*NO_NUMBER_ENDS), trimmed.try_cast("double"))
 
 
 def to_time(text: Column) -> Column:

@@ -29,25 +29,39 @@ def conform_schema(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in absent})
 
 
+def parse_once(df: DataFrame, parsed: dict[str, Column]) -> DataFrame:
+    """Replace columns by parsed ones that are computed once per row.
+
+    Filters on a plain projection are moved below it, and the parsing is repeated
+    there for every comparison. Generated columns stay where they are.
+    """
+    if not parsed:
+        return df
+    row = F.struct(*[column.alias(name) for name, column in parsed.items()])
+    kept = [c for c in df.columns if c not in parsed]
+    return df.select(*kept, F.inline(F.array(row))).select(*df.columns)
+
+
 def normalize_types(df: DataFrame) -> DataFrame:
     """Times, numbers and trimmed texts; what cannot be read becomes null."""
-    types = dict(zip(df.columns, (f.dataType for f in df.schema)))
-    typed: dict[str, Column] = {}
+    types = {f.name: f.dataType for f in df.schema}
+    parsed: dict[str, Column] = {}
+    plain: dict[str, Column] = {}
     for c in TIME_COLUMNS:
         if isinstance(types.get(c), T.StringType):
-            typed[c] = text.to_time(F.col(c))
+            parsed[c] = text.to_time(F.col(c))
         elif c in types:
-            typed[c] = F.col(c).cast("timestamp")
+            plain[c] = F.col(c).cast("timestamp")
     for c in NUMERIC_COLUMNS:
         if isinstance(types.get(c), T.StringType):
-            typed[c] = text.to_number(F.col(c))
+            parsed[c] = text.to_number(F.col(c))
         elif c in types:
             number = F.col(c).cast("double")
-            typed[c] = F.when(~F.isnan(number), number)
+            plain[c] = F.when(~F.isnan(number), number)
     for c in TEXT_COLUMNS:
         if c in types:
-            typed[c] = text.to_text(F.col(c).cast("string"))
-    return df.withColumns(typed)
+            parsed[c] = text.to_text(F.col(c).cast("string"))
+    return parse_once(df.withColumns(plain), parsed)
 
 
 def has_critical_fields() -> Column:

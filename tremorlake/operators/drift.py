@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.operators.ranking import bucket_levels, exact_quantiles, running_before, value_counts
 from tremorlake.schema import DEPTH_RANGE_KM, MAGNITUDE_RANGE, PSI_CRITICAL, PSI_MODERATE
+from tremorlake.session import cut_lineage
 
 # Windows and minimum sizes of the quick check.
 RECENT_DAYS, REFERENCE_DAYS = 7, 30
@@ -37,7 +38,11 @@ SIDES = ("reference", "current")
 
 
 def drift_counts(events: DataFrame, columns: list[str], reference: Column, current: Column) -> DataFrame:
-    """Counts per value on both sides, with the levels that order the values."""
+    """Counts per value on both sides, with the levels that order the values.
+
+    The statistics read the counts several times, so they are written once and
+    the events are scanned once.
+    """
     counts = value_counts(
         events.withColumns({"_reference": reference, "_current": current}),
         columns,
@@ -50,7 +55,8 @@ def drift_counts(events: DataFrame, columns: list[str], reference: Column, curre
             chain = F.when(F.col("feature") == name, F.lit(float(WATCHED[name][side]))).otherwise(chain)
         return chain
 
-    return counts.withColumns(bucket_levels(F.col("value"), bound(0), bound(1)))
+    levels = bucket_levels(F.col("value"), bound(0), bound(1))
+    return cut_lineage(counts.withColumns(levels), "value-counts")
 
 
 def psi_from_counts(counts: DataFrame, bins: int = PSI_BINS) -> DataFrame:

@@ -147,27 +147,27 @@ def nearest_neighbors(points: DataFrame, k: int, box_points: int = BOX_POINTS) -
     leaves = leaves if rows else 1
     boxes = Boxes(np.asarray(rows or [[0.0]]), leaves)
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                yield batch.assign(leaf=boxes.leaf_of(np.stack(batch["v"].to_numpy())))
-
     vector = T.StructField("v", T.ArrayType(T.DoubleType()))
     key = T.StructField("id", id_type)
     placed_schema = T.StructType([key, vector, T.StructField("leaf", T.IntegerType())])
     found_schema = T.StructType(
         [key, T.StructField("neighbor", id_type), T.StructField("squared", T.DoubleType())]
     )
-    placed = cut_lineage(stored.mapInPandas(place, placed_schema), "placed")
 
     def inside(group: pd.DataFrame) -> pd.DataFrame:
         return _long(_nearest(group, group, k))
 
-    home = placed.groupBy("leaf").applyInPandas(inside, found_schema)
     if leaves == 1:
-        return _ranked(home, k)
+        one_box = stored.withColumn("leaf", F.lit(0))
+        return _ranked(one_box.groupBy("leaf").applyInPandas(inside, found_schema), k)
 
-    home = cut_lineage(home, "home-neighbors")
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.assign(leaf=boxes.leaf_of(np.stack(batch["v"].to_numpy())))
+
+    placed = cut_lineage(stored.mapInPandas(place, placed_schema), "placed")
+    home = cut_lineage(placed.groupBy("leaf").applyInPandas(inside, found_schema), "home-neighbors")
     dims = len(rows[0])
     extremes = placed.groupBy("leaf").agg(
         *[F.min(F.get("v", F.lit(i))).alias(f"low{i}") for i in range(dims)],

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,18 +51,22 @@ def run_variations(
     their threshold share one model and one scored table.
     """
     balanced = resampled_train(train)
-    models: dict[GbtParams, PipelineModel] = {}
-    scored: dict[GbtParams, DataFrame] = {}
+    distinct = list(dict.fromkeys(v.params for v in variations))
+
+    def fit(params: GbtParams) -> tuple[PipelineModel, DataFrame]:
+        fitted = train_gbt(balanced, params)
+        return fitted, cut_lineage(batch_score(fitted, test).select("y", "proba"), "scored")
+
+    # One thread per configuration: Spark interleaves their jobs.
+    with ThreadPool(len(distinct)) as pool:
+        fits = dict(zip(distinct, pool.map(inheritable_thread_target(train.sparkSession)(fit), distinct)))
     runs = []
     for order, variation in enumerate(variations):
-        params = variation.params
-        if params not in models:
-            models[params] = train_gbt(balanced, params)
-            scored[params] = cut_lineage(batch_score(models[params], test).select("y", "proba"), "scored")
-        logged = {**asdict(params), "threshold": variation.threshold, "resampling": "SMOTETomek"}
+        logged = {**asdict(variation.params), "threshold": variation.threshold, "resampling": "SMOTETomek"}
         pairs = [F.lit(str(part)) for item in logged.items() for part in item]
+        _, scored = fits[variation.params]
         runs.append(
-            three_metrics(scored[params], variation.threshold).select(
+            three_metrics(scored, variation.threshold).select(
                 F.lit(f"{order + 1:04d}").alias("run_id"),
                 F.lit(variation.run_name).alias("run_name"),
                 F.lit("FINISHED").alias("status"),
@@ -70,4 +76,4 @@ def run_variations(
                 F.create_map(*pairs).alias("params"),
             )
         )
-    return reduce(DataFrame.unionByName, runs), models
+    return reduce(DataFrame.unionByName, runs), {params: fitted for params, (fitted, _) in fits.items()}
