@@ -3,7 +3,9 @@ from brute import EVENT_SCHEMA, event, km, mainshocks, scatter
 from pyspark.sql import functions as F
 
 from tremorlake.functions.geo import Grid
+from tremorlake.operators import isolation
 from tremorlake.operators.isolation import find_mainshocks, isolated_epicentres
+from tremorlake.session import cut_lineage
 
 WEEK = 7 * 24
 
@@ -65,8 +67,15 @@ def test_equals_brute_force(spark, seed, area):
     assert found(spark, events) == mainshocks(events)
 
 
-def test_a_cell_with_most_rows_shrinks_before_any_shuffle(spark):
+def test_a_cell_with_most_rows_shrinks_before_the_join(spark, monkeypatch):
     """Copies of one place and day leave the first aggregate as one row."""
+    written = {}
+
+    def record(df, name):
+        written[name] = cut_lineage(df, name)
+        return written[name]
+
+    monkeypatch.setattr(isolation, "cut_lineage", record)
     hot = spark.range(20000).select(
         F.col("id").alias("event_id"),
         F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 86400).alias("time_utc"),
@@ -74,9 +83,35 @@ def test_a_cell_with_most_rows_shrinks_before_any_shuffle(spark):
         F.lit(100.0).alias("longitude"),
         F.lit(6.0).alias("magnitude"),
     )
-    assert isolated_epicentres(hot).count() == 1
-    plan = isolated_epicentres(hot)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    found_here = isolated_epicentres(hot)
+    assert found_here.count() == 1 and written["sites"].count() == 1
+    plan = found_here._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_hot_cell_is_split_when_both_sides_are_large(spark, conf):
+    """Many places in one cell and day: the sort-merge path splits that day."""
+    hot = spark.range(40000).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.lit(1704067200 + 3600) + F.col("id") % 80000).alias("time_utc"),
+        (F.rand(3) * 0.5).alias("latitude"),
+        (F.rand(4) * 0.5 + 100.0).alias("longitude"),
+        F.lit(5.5).alias("magnitude"),
+    )
+    first = spark.createDataFrame([event(50000, lat=0.7, lon=100.2), event(50001, 24 * 3, lat=-0.2, lon=100.2)], EVENT_SCHEMA)
+    events = cut_lineage(hot.unionByName(first.drop("depth_km")), "hot")
+    expected = {r[0] for r in find_mainshocks(events).select("event_id").collect()}
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20000",
+    )
+    df = isolated_epicentres(events)
+    assert df.count() == len(expected)
+    df.collect()
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("lat", [-75.0, -11.0, 0.0, 6.0, 45.0, 84.0, 89.5])

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.functions.geo import Grid, haversine_km
 from tremorlake.schema import ISOLATION_DAYS, MAINSHOCK_MAGNITUDE, RADIUS_KM
+from tremorlake.session import cut_lineage
 
 EPICENTRE = ("time_utc", "latitude", "longitude")
 
@@ -38,12 +39,16 @@ def isolated_epicentres(
     days: int = ISOLATION_DAYS,
     min_magnitude: float = MAINSHOCK_MAGNITUDE,
 ) -> DataFrame:
-    """Distinct (time, latitude, longitude) of the mainshocks."""
+    """Distinct (time, latitude, longitude) of the mainshocks.
+
+    The strong sites are written once: three steps read them, and the events
+    must not be scanned for each.
+    """
     grid = Grid.with_close_cells(radius_km)
     window = F.make_dt_interval(F.lit(days))
 
     # Strong events by place and day. Partial aggregation folds copies and hot sites.
-    sites = (
+    sites = cut_lineage(
         _strong(events, min_magnitude)
         .select(
             grid.row(F.col("latitude")).alias("cell_row"),
@@ -52,7 +57,8 @@ def isolated_epicentres(
             *EPICENTRE,
         )
         .groupBy("cell_row", "cell_col", "day", "latitude", "longitude")
-        .agg(F.min("time_utc").alias("first"), F.max("time_utc").alias("last"))
+        .agg(F.min("time_utc").alias("first"), F.max("time_utc").alias("last")),
+        "sites",
     )
 
     # Inside a cell: only the first instant of a day can be free of earlier events,
@@ -130,6 +136,11 @@ def find_mainshocks(
     days: int = ISOLATION_DAYS,
     min_magnitude: float = MAINSHOCK_MAGNITUDE,
 ) -> DataFrame:
-    """The event rows of all mainshocks; events that share an epicentre stay together."""
-    epicentres = isolated_epicentres(events, radius_km, days, min_magnitude)
-    return _strong(events, min_magnitude).join(epicentres, list(EPICENTRE)).select(*events.columns)
+    """The event rows of all mainshocks; events that share an epicentre stay together.
+
+    Events are scanned once: the strong ones, a few in a hundred, are written
+    and everything after works on them.
+    """
+    strong = cut_lineage(_strong(events, min_magnitude), "strong")
+    epicentres = isolated_epicentres(strong, radius_km, days, min_magnitude)
+    return strong.join(epicentres, list(EPICENTRE)).select(*events.columns)

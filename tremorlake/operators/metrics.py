@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tremorlake.functions.catalogue import threshold_predict
 from tremorlake.operators.ranking import bucket_levels, running_before
 from tremorlake.schema import DECISION_THRESHOLD
+from tremorlake.session import cut_lineage
 
 # Class names in the report.
 REPORT_NAMES = {0: "Tidak Ada Susulan (0)", 1: "Ada Susulan (1)"}
@@ -104,23 +105,29 @@ def classification_report(scored: DataFrame, threshold: float = DECISION_THRESHO
 def score_counts(
     scored: DataFrame, groups: Sequence[str] = (), label: str = "y", probability: str = "proba"
 ) -> DataFrame:
-    """Positives and negatives per distinct score, with the levels that order them downward."""
+    """Positives and negatives per distinct score, with the levels that order them downward.
+
+    The ranking metrics read the counts several times, so they are written once
+    and the scored rows are scanned once.
+    """
     by_score = scored.groupBy(*groups, F.col(probability).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("positives"),
         F.count_if(F.col(label) != 1).alias("negatives"),
     )
     descending = by_score.withColumn("descending", -F.col("score"))
-    return descending.withColumns(bucket_levels(F.col("descending"), -1.0, 0.0))
+    return cut_lineage(
+        descending.withColumns(bucket_levels(F.col("descending"), -1.0, 0.0)), "score-counts"
+    )
 
 
 def average_precision(scored: DataFrame, groups: Sequence[str] = (), **names) -> DataFrame:
     """Step-wise area under precision and recall; tied scores move together."""
+    return _average_precision(score_counts(scored, groups, **names), groups)
+
+
+def _average_precision(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
     ordered = running_before(
-        score_counts(scored, groups, **names),
-        ["positives", "negatives"],
-        ["descending"],
-        groups,
-        ["coarse", "fine"],
+        counts, ["positives", "negatives"], ["descending"], groups, ["coarse", "fine"]
     )
     hits = F.col("positives_before") + F.col("positives")
     claimed = hits + F.col("negatives_before") + F.col("negatives")
@@ -145,10 +152,20 @@ def three_metrics(
     scored: DataFrame, threshold: float = DECISION_THRESHOLD, groups: Sequence[str] = (), **names
 ) -> DataFrame:
     """The metrics a run is judged by: PR-AUC, F1 and recall."""
-    ranking = average_precision(scored, groups, **names).withColumnRenamed("average_precision", "pr_auc")
-    at_threshold = rates(confusion_matrix(scored, threshold, groups, **names)).select(
-        *groups, "f1_score", "recall"
+    counts = score_counts(scored, groups, **names)
+    ranking = _average_precision(counts, groups).withColumnRenamed("average_precision", "pr_auc")
+    claimed = threshold_predict(F.col("score"), threshold) == 1
+
+    def rows(kind: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(kind))), F.lit(0))
+
+    confusion = counts.groupBy(*groups).agg(
+        rows("negatives", ~claimed).alias("tn"),
+        rows("negatives", claimed).alias("fp"),
+        rows("positives", ~claimed).alias("fn"),
+        rows("positives", claimed).alias("tp"),
     )
+    at_threshold = rates(confusion).select(*groups, "f1_score", "recall")
     if groups:
         return ranking.join(at_threshold, list(groups))
     both = at_threshold.select(F.struct("f1_score", "recall").alias("at"))
