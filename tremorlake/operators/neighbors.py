@@ -8,16 +8,21 @@ ordinary shuffles by box, and no box or request list outgrows one task.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremorlake.session import cut_lineage
 
+# What runs in tasks travels with them, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Points per box, requests per task, and sample points per box.
 BOX_POINTS = 2000
 BOX_REQUESTS = 4000
