@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorlake.llm import bpe, mixing, quality
+from tremorlake.llm import bag_minhash, bpe, mixing, quality
+from tremorlake.llm import line_dedup as lines
 from tremorlake.session import cut_lineage
 
 
@@ -16,6 +17,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.passing(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(docs, removed="__removed").drop("__removed")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bag_minhash.representatives(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.tempered_mix(docs, copy="__copy", order="__order").drop("__copy", "__order")
 
@@ -26,6 +35,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("mixing", mixing_stage),
     ("bpe", encoding),
 ]

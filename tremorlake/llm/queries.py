@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from tremorlake.llm import bpe, mixing, quality, token_files, warc
+from tremorlake.llm import bag_minhash, bpe, line_dedup, mixing, passages, pii, quality, token_files, topk, warc
 
 QUERIES = {
     q.__name__: q
     for q in (
         mixing.op1_mixing,
+        line_dedup.op2_line_dedup,
+        pii.op3_pii,
+        bag_minhash.op4_near_dedup,
         warc.op5_warc,
+        passages.op6_passages,
+        topk.op7_topk,
         quality.op8_quality_rules,
         token_files.op9_token_files,
         bpe.op10_bpe,
@@ -17,5 +22,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_mixing": mixing.OP1_SQL,
+    "op7_topk": topk.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
 }
