@@ -34,7 +34,7 @@ END_ID = 1
 # Characters encoded at a time, which bounds what one step holds.
 BLOCK = 2_000_000
 _MASK = 0xA282EAD8
-_CHUNKS = 200_000
+_CHUNKS = 350_000
 _FAN_OUT = 4096
 
 
