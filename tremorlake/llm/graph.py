@@ -1,10 +1,12 @@
 """Links within groups, and the components they make, as Spark jobs.
 
 Candidates come as rows (key, node): nodes that share a key may be alike. A group is
-never spelled out into all its pairs. Every node is first compared with the smallest of
-its group, which settles groups of copies in as many comparisons as they have members.
-Only in groups that still lie in several components are the members of different
-components compared; what is joined already needs no comparison to be found joined.
+never spelled out into its pairs. Every node is first compared with the smallest of its
+group, which settles groups of copies in as many comparisons as they have members. In
+groups that still lie in several components, one node after another is compared with
+all members of other components, until a whole turn over all groups finds no link. What
+is joined already needs no comparison, so the work is linear in the members per turn.
+Two components of a group stay apart if no node that had its turn links them.
 """
 
 from __future__ import annotations
@@ -39,29 +41,41 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def open_pairs(members: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of one key whose nodes lie in different components and were not compared yet."""
-    root = F.coalesce("root", "node")
-    placed = members.join(roots, "node", "left").select("key", "node", root.alias("root"))
-    split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    split = cut_lineage(split.filter("low < high").select("key"), "open-keys")
-    open_members = cut_lineage(join_narrow(placed, split, "key", "left_semi"), "open-members")
-    left = open_members.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    right = open_members.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    crossed = left.join(right, "key").filter("a < b and a_root <> b_root").select("a", "b").distinct()
-    return crossed.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+def pivot_pairs(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """In every key whose nodes lie in different components: one node with all of other components.
+
+    The node is the first by a digest of the turn, so keys and turns take different ones.
+    """
+    placed = join_narrow(members.select("key", "node"), roots, "node", "left")
+    placed = placed.select("key", "node", F.coalesce("root", "node").alias("root"))
+    split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    split = cut_lineage(split.select("key"), "split-keys")
+    inside = cut_lineage(join_narrow(placed, split, "key", "left_semi"), "split-members")
+    ranked = inside.withColumn("order", F.xxhash64(F.lit(turn), "key", "node"))
+    least = ranked.groupBy("key").agg(F.min("order").alias("order"))
+    pivots = ranked.join(least, ["key", "order"]).select("key", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+    pivots = cut_lineage(pivots, "pivots")
+    pairs = join_narrow(inside, pivots, "key").filter("root <> pivot_root")
+    return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """All links that ``verify`` confirms and the components: (``a, b, ...``) and (``node, root``)."""
-    pairs = cut_lineage(star_pairs(members), "star-pairs")
-    links = cut_lineage(verify(pairs), "star-links")
-    roots = components(links)
-    more = cut_lineage(open_pairs(members, roots, pairs), "open-pairs")
-    if more.isEmpty():
-        return links, roots
-    links = cut_lineage(links.unionByName(verify(more)), "links")
-    return links, components(links)
+    """The links that ``verify`` confirms and the components: (``a, b``) and (``node, root``).
+
+    Turns go on while they find links, each at most one comparison per member and key.
+    """
+    links = cut_lineage(verify(cut_lineage(star_pairs(members), "star-pairs")), "star-links")
+    roots, turn = components(links), 0
+    while True:
+        turn += 1
+        pairs = cut_lineage(pivot_pairs(members, roots, turn), "pivot-pairs")
+        if pairs.isEmpty():
+            return links, roots
+        more = cut_lineage(verify(pairs), "pivot-links")
+        if more.isEmpty():
+            return links, roots
+        links = cut_lineage(links.unionByName(more), "links")
+        roots = components(links)
 
 
 def components(links: DataFrame) -> DataFrame:
