@@ -151,7 +151,9 @@ def quality_rules(
 def passing(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass, with their own columns."""
     judged = quality_rules(docs, text, "__quality")
-    return judged.filter(F.col("__quality.kept")).drop("__quality")
+    # A filter on a projection would be moved below it, with all measures spelled out anew; it stops at a generator.
+    flagged = judged.withColumn("__kept", F.explode(F.array("__quality.kept"))).drop("__quality")
+    return flagged.filter("__kept").drop("__kept")
 
 
 CONTRACT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
