@@ -155,3 +155,20 @@ def test_pipeline(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = corpus_pipeline.run(spark, DATA).collect()
     assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_no_link_of_a_large_group_is_lost(table):
+    wanted = {(11, 57), (12, 40), (40, 58)}
+    rows = [(1, n) for n in range(60)] + [(2, n) for n in range(0, 60, 2)]
+    seen = []
+
+    def verify(pairs):
+        kept = [(r.a, r.b) for r in pairs.collect()]
+        seen.extend(kept)
+        return table([p for p in kept if p in wanted], "a long, b long")
+
+    members = graph.shared_keys(table(rows, "key long, node long"))
+    links, roots = graph.linked(members, verify)
+    assert {(r.a, r.b) for r in links.collect()} == wanted
+    assert {(r.node, r.root) for r in roots.collect()} == {(11, 11), (57, 11), (12, 12), (40, 12), (58, 12)}
+    assert len(seen) == len(set(seen))

@@ -1,12 +1,12 @@
 """Links within groups, and the components they make, as Spark jobs.
 
-Candidates come as rows (key, node): nodes that share a key may be alike. A group is
-never spelled out into its pairs. Every node is first compared with the smallest of its
-group, which settles groups of copies in as many comparisons as they have members. In
-groups that still lie in several components, one node after another is compared with
-all members of other components, until a whole turn over all groups finds no link. What
-is joined already needs no comparison, so the work is linear in the members per turn.
-Two components of a group stay apart if no node that had its turn links them.
+Candidates come as rows (key, node): nodes that share a key may be alike. Every node is
+first compared with the smallest of its group, which settles groups of copies in as many
+comparisons as they have members. Groups that still lie in several components go through
+turns: some nodes from outside the group's main component are compared with all members
+of other components and leave the group. What is joined already needs no comparison, so
+the work is the group's size times the nodes that stay outside its main component. It
+goes on until no two components of a group are left uncompared, so no link is lost.
 """
 
 from __future__ import annotations
@@ -41,41 +41,58 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def pivot_pairs(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """In every key whose nodes lie in different components: one node with all of other components.
+def _split_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, node, root, main``: the members of all keys that still lie in several components.
 
-    The node is the first by a digest of the turn, so keys and turns take different ones.
+    ``main`` is the key's component with the most members.
     """
     placed = join_narrow(members.select("key", "node"), roots, "node", "left")
-    placed = placed.select("key", "node", F.coalesce("root", "node").alias("root"))
-    split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    split = cut_lineage(split.select("key"), "split-keys")
-    inside = cut_lineage(join_narrow(placed, split, "key", "left_semi"), "split-members")
-    ranked = inside.withColumn("order", F.xxhash64(F.lit(turn), "key", "node"))
-    least = ranked.groupBy("key").agg(F.min("order").alias("order"))
-    pivots = ranked.join(least, ["key", "order"]).select("key", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-    pivots = cut_lineage(pivots, "pivots")
-    pairs = join_narrow(inside, pivots, "key").filter("root <> pivot_root")
-    return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    placed = cut_lineage(placed.select("key", "node", F.coalesce("root", "node").alias("root")), "placed-members")
+    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    heads = sizes.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("parts"))
+    split = cut_lineage(heads.filter("parts > 1").select("key", "main"), "split-keys")
+    return cut_lineage(join_narrow(placed, split, "key"), "split-members")
+
+
+def _pivots(inside: DataFrame, turn: int) -> DataFrame:
+    """``key, pivot, pivot_root``: up to 1, 2, 4, ... members per key from outside its main component.
+
+    A digest of the turn deals them to slots and picks the first of each, so turns take different ones.
+    """
+    order = F.xxhash64(F.lit(turn), "key", "node")
+    outside = inside.filter("root <> main").withColumn("order", order)
+    slots = outside.withColumn("slot", F.pmod("order", F.lit(1 << (turn - 1))))
+    least = slots.groupBy("key", "slot").agg(F.min(F.struct("order", "node", "root")).alias("least"))
+    return least.select("key", F.col("least.node").alias("pivot"), F.col("least.root").alias("pivot_root"))
 
 
 def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """The links that ``verify`` confirms and the components: (``a, b``) and (``node, root``).
 
-    Turns go on while they find links, each at most one comparison per member and key.
+    A pivot has been compared with all others of its key and leaves it. A key leaves with
+    the last of its members outside its main component. So no pair of a key is left open,
+    and none is compared twice.
     """
-    links = cut_lineage(verify(cut_lineage(star_pairs(members), "star-pairs")), "star-links")
+    tried = cut_lineage(star_pairs(members), "star-pairs")
+    links = cut_lineage(verify(tried), "star-links")
     roots, turn = components(links), 0
+    members = members.filter("node <> first").select("key", "node")
     while True:
         turn += 1
-        pairs = cut_lineage(pivot_pairs(members, roots, turn), "pivot-pairs")
-        if pairs.isEmpty():
+        inside = _split_members(members, roots)
+        if inside.isEmpty():
             return links, roots
+        pivots = cut_lineage(_pivots(inside, turn), "pivots")
+        met = join_narrow(inside, pivots, "key").filter("root <> pivot_root")
+        pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"), "pivot-pairs")
+        tried = tried.unionByName(pairs)
+        gone = pivots.select("key", F.col("pivot").alias("node"))
+        members = inside.select("key", "node").join(gone, ["key", "node"], "left_anti")
         more = cut_lineage(verify(pairs), "pivot-links")
-        if more.isEmpty():
-            return links, roots
-        links = cut_lineage(links.unionByName(more), "links")
-        roots = components(links)
+        if not more.isEmpty():
+            links = cut_lineage(links.unionByName(more), "links")
+            roots = components(links)
 
 
 def components(links: DataFrame) -> DataFrame:
