@@ -91,8 +91,20 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tupl
         members = inside.select("key", "node").join(gone, ["key", "node"], "left_anti")
         more = cut_lineage(verify(pairs), "pivot-links")
         if not more.isEmpty():
-            links = cut_lineage(links.unionByName(more), "links")
-            roots = components(links)
+            links, roots = links.unionByName(more), merged(roots, more)
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components, ``node, root``, with further links: only those between two of them are walked."""
+    for side in ("a", "b"):
+        named = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+        links = links.join(named, side, "left").withColumn(side, F.coalesce(f"{side}_root", side)).drop(f"{side}_root")
+    moved = components(links)
+    # A root is the smallest of its component before and after, so the smallest stays the name.
+    moves = moved.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    kept = join_narrow(roots, moves, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
+    fresh = moved.join(roots.select("node"), "node", "left_anti")
+    return cut_lineage(kept.unionByName(fresh), "components")
 
 
 def components(links: DataFrame) -> DataFrame:
