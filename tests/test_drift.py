@@ -80,3 +80,14 @@ def test_report(spark):
     assert math.isclose(m.wasserstein_normed, area / reference.std(), rel_tol=1e-9)
     assert m.drifted and not rows["depth_km"].drifted
     assert m.n_reference == 300 and m.drift_share == 0.25 and not m.dataset_drift
+
+
+def test_index_of_any_column_and_both_verdicts(spark):
+    df = events(spark, [4.0, 5.0, 6.0] * 40, [5.0, 6.0, 7.0] * 20).withColumn("other", F.col("magnitude") * 1000 - 7)
+    late = F.col("time_utc") >= F.lit(END) - F.expr("interval 7 days")
+    one, other = (drift.psi(df, c, ~late, late).first().psi for c in ("magnitude", "other"))
+    assert math.isclose(one, other, rel_tol=1e-9) and one > 0
+    rows = {r.feature: r for r in drift.drift_report(df, "ks").collect()}
+    assert rows["magnitude"].ks_drifted == rows["magnitude"].drifted and rows["magnitude"].distance_drifted
+    with pytest.raises(ValueError):
+        drift.drift_report(df, "guess")

@@ -150,3 +150,25 @@ def test_stream_dedup_in_flight(spark, tmp_path):
     )
     q.awaitTermination()
     assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "t")).collect()) == ["a", "b"]
+
+
+def test_times_keep_their_fraction_and_manifest_counts_every_row(spark, tmp_path):
+    rows = raw(spark, "a").withColumn("time_utc", F.lit("2024-01-01 00:00:00.987654").cast("timestamp"))
+    bare = rows.withColumns({"event_id": F.lit(None).cast("string"), "time_utc": F.lit(None).cast("timestamp")})
+    sinks.sink_raw_snapshot(rows.unionByName(bare), str(tmp_path), "20260101_000000")
+    back = snapshots.scan_all_snapshots(spark, str(tmp_path))
+    assert {r.time_utc for r in back.collect()} == {"2024-01-01T00:00:00.987654Z", None}
+    assert sinks.manifest_rows(back, F.lit("now")).first().row_count == 2
+
+
+def test_files_of_any_layout(spark, tmp_path):
+    names = list(RAW_COLUMNS)
+    write(tmp_path / "gempa_1.csv", ",".join(names) + "\n" + ",".join(f"a{n}" for n in range(len(names))) + "\n")
+    write(tmp_path / "gempa_2.csv", ",".join(names[1:]) + "\n" + ",".join(f"b{n}" for n in range(1, len(names))) + "\n")
+    moved = [*names[::-1], "further"]
+    write(tmp_path / "gempa_3.csv", ",".join(moved) + "\n" + ",".join(f"c{n}" for n in range(len(moved))) + "\n")
+    rows = {r.snapshot: r for r in snapshots.scan_all_snapshots(spark, str(tmp_path)).collect()}
+    assert rows["gempa_1.csv"][names[0]] == "a0" and rows["gempa_1.csv"].further is None
+    assert rows["gempa_2.csv"][names[0]] is None and rows["gempa_2.csv"][names[1]] == "b1"
+    last = len(names) - 1
+    assert rows["gempa_3.csv"][names[0]] == f"c{last}" and rows["gempa_3.csv"].further == f"c{last + 1}"

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +125,11 @@ def test_resampling_balances_and_keeps_types(spark):
 def test_one_class_is_an_error(spark):
     with pytest.raises(ValueError):
         resample.smote_oversample(labelled(spark, [(0, 0, 0)], [1]), NAMES, "y")
+
+
+def test_splits_keep_rows_without_time_or_label(spark):
+    rows = [(f"m{n}", None if n % 4 == 0 else dt.datetime(2024, 1, 1 + n), 1, None if n % 4 == 1 else n % 2) for n in range(20)]
+    df = spark.createDataFrame(rows, "mainshock_id string, mainshock_time timestamp, snapshot_hours int, y int")
+    timed = split.time_split(df).collect()
+    assert len(timed) == 20 and {r.part for r in timed if r.mainshock_time is None} == {"test"}
+    assert split.stratified_split(df, ["mainshock_id"], label="y").count() == 20

@@ -44,7 +44,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 97 == 0, F.lit("  ")).otherwise(F.concat(F.lit("ev"), n)).alias("event_id"),
         "source",
         F.when(n % 19 == 0, F.lit("bad"))
-        .otherwise(F.date_format("time_utc", "yyyy-MM-dd'T'HH:mm:ss"))
+        .otherwise(F.date_format("time_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
         .alias("time_utc"),
         F.when(n % 23 == 0, F.col("latitude") + 40)
         .otherwise(F.col("latitude"))

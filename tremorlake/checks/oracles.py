@@ -18,7 +18,7 @@ EV = """ev AS (
 
 RAW = """first_rows AS (
   SELECT CASE WHEN event_id % 97 = 0 THEN '  ' ELSE 'ev' || event_id END AS event_id, source,
-         CASE WHEN event_id % 19 = 0 THEN 'bad' ELSE strftime(time_utc, '%Y-%m-%dT%H:%M:%S') END AS time_utc,
+         CASE WHEN event_id % 19 = 0 THEN 'bad' ELSE strftime(time_utc, '%Y-%m-%dT%H:%M:%S.%f') END AS time_utc,
          CAST(CASE WHEN event_id % 23 = 0 THEN latitude + 40 ELSE latitude END AS VARCHAR) AS latitude,
          CAST(longitude AS VARCHAR) AS longitude,
          CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 29 = 0 THEN '701'
@@ -386,8 +386,7 @@ FROM texts""",
     "aftershock_label": _FEAT + "SELECT mainshock_id, snapshot_hours, label_susulan_besar_24jam FROM feat",
     "select_features": f"SELECT * EXCLUDE (mainshock_id, mainshock_time, snapshot_hours) FROM ({_FEAT}{_FEATURE_ROUNDED})",
     "scan_features": _FEAT + _FEATURE_ROUNDED,
-    "sink_features": _FEAT + """SELECT mainshock_id, date_trunc('second', mainshock_time) AS mainshock_time,
-  snapshot_hours, round(mainshock_magnitude, 6) AS mainshock_magnitude FROM feat""",
+    "sink_features": _FEAT + _FEATURE_ROUNDED,
     "label_distribution": _FEAT + """SELECT label_susulan_besar_24jam AS label, count(*) AS n,
   round(count(*) / sum(count(*)) OVER (), 6) AS share FROM feat GROUP BY 1""",
     "magnitude_describe": _with(EV) + """SELECT count(magnitude) AS n, round(avg(magnitude), 6) AS mean,
@@ -453,11 +452,10 @@ dist AS (
   SELECT feature, max(nr) AS n_reference, max(nc) AS n_current, max(gap) AS ks,
          sum(gap * coalesce(width, 0)) / greatest(max(sd), 0.001) AS wn FROM steps GROUP BY feature),
 judged AS (
-  SELECT *, CASE WHEN n_reference <= 1000
-     THEN ks > 1.3581 * sqrt((n_reference + n_current) / (CAST(n_reference AS DOUBLE) * n_current))
-     ELSE wn >= 0.1 END AS drifted
+  SELECT *, wn >= 0.1 AS drifted,
+     ks > 1.3581 * sqrt((n_reference + n_current) / (CAST(n_reference AS DOUBLE) * n_current)) AS ks_drifted
   FROM dist JOIN psi_scores USING (feature))""") + """SELECT feature, n_reference, n_current, round(ks, 6) AS ks,
-  round(wn, 6) AS wasserstein_normed, round(psi, 6) AS psi, drifted,
+  round(wn, 6) AS wasserstein_normed, round(psi, 6) AS psi, drifted, ks_drifted, drifted AS distance_drifted,
   round(avg(CAST(drifted AS INT)) OVER (), 6) AS drift_share,
   avg(CAST(drifted AS INT)) OVER () >= 0.5 AS dataset_drift FROM judged""",
     "dedup_source_priority": _with(*_CLEAN) + f"SELECT {VIEW} FROM clean",

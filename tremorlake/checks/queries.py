@@ -26,7 +26,7 @@ from tremorlake.operators import (
 from tremorlake.plans import catalogue as plans
 from tremorlake.plans import features as feature_plan
 from tremorlake.plans import training
-from tremorlake.schema import FEATURES, RAW_COLUMNS, TARGET
+from tremorlake.schema import FEATURE_TABLE, FEATURES, RAW_COLUMNS, TARGET
 from tremorlake.session import cut_lineage, new_path, ready
 from tremorlake.sources import feeds, sinks, snapshots, tables
 from tremorlake.streaming import ingest
@@ -420,8 +420,7 @@ def scan_features(spark, sf_dir):
 def sink_features(spark, sf_dir):
     folder = new_path(spark, "features-csv")
     sinks.sink_features(_features(spark, sf_dir), new_path(spark, "features"), folder)
-    rows = spark.read.schema("mainshock_id string, mainshock_time timestamp, snapshot_hours int, mainshock_magnitude double").option("header", True).csv(folder)
-    return rows.select("mainshock_id", "mainshock_time", "snapshot_hours", _r("mainshock_magnitude"))
+    return _rounded_features(spark.read.schema(FEATURE_TABLE).options(header=True, enforceSchema=False).csv(folder))
 
 
 # -- aggregates and metrics ----------------------------------------------------------

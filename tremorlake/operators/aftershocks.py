@@ -18,32 +18,26 @@ from tremorlake.schema import (
     SNAPSHOT_HOURS,
     TARGET,
 )
+from tremorlake.session import cut_lineage
 
 
 def _hours(value: Column) -> Column:
     return F.make_dt_interval(F.lit(0), value.cast("int"))
 
 
-# A copied side goes to every executor only when its counted rows fit in this many bytes.
-BROADCAST_BYTES = 64 * 1024 * 1024
-_ROW_BYTES = 128
-
-
 def events_after(
     origins: DataFrame,
     events: DataFrame,
     horizon_hours: int,
     radius_km: float = RADIUS_KM,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join each origin to the events near it in ``(origin, origin + horizon]``.
 
     Origins are copied to the cells and days in reach; events keep one home
     cell, so no pair is met twice and the large side is shuffled once at most.
-    ``origins`` should be a written table: its copies are counted here, because
-    the optimizer's estimate does not see how far an explode multiplies rows.
-    Few copies are broadcast; many are sorted and merged, and a hot cell is then
-    split at run time by adaptive skew handling.
+    The copies are written first, because the optimizer's estimate does not see how
+    far an explode multiplies rows. From their true size it chooses the join, and a
+    hot cell is split at run time by adaptive skew handling.
     """
     grid = Grid.about_one_radius(radius_km)
     horizon = F.make_dt_interval(F.lit(0), F.lit(horizon_hours))
@@ -54,16 +48,13 @@ def events_after(
             "cell_cols": grid.columns_in_reach(F.col("latitude"), F.col("longitude")),
         }
     )
-    per_origin = F.size("days") * F.size("cell_rows") * F.size("cell_cols")
-    copies = reach.agg(F.coalesce(F.sum(per_origin), F.lit(0)).alias("copies")).first()["copies"]
-    reached = (
+    reached = cut_lineage(
         reach.withColumn("day", F.explode("days"))
         .withColumn("cell_row", F.explode("cell_rows"))
         .withColumn("cell_col", F.explode("cell_cols"))
-        .drop("days", "cell_rows", "cell_cols")
-        .hint("broadcast" if copies * _ROW_BYTES <= broadcast_bytes else "merge")
-        .alias("origin")
-    )
+        .drop("days", "cell_rows", "cell_cols"),
+        "reached",
+    ).alias("origin")
     placed = events.select(
         F.col("event_id"),
         *EPICENTRE,
@@ -93,12 +84,11 @@ def aftershock_pairs(
     mainshocks: DataFrame,
     events: DataFrame,
     snapshots: Sequence[int] = SNAPSHOT_HOURS,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every (mainshock, event) pair any snapshot can see, before or after it."""
     origins = mainshocks.select(F.col("event_id").alias("mainshock_id"), *EPICENTRE)
     horizon = max(snapshots) + LABEL_WINDOW_HOURS
-    pairs = events_after(origins, events, horizon, broadcast_bytes=broadcast_bytes)
+    pairs = events_after(origins, events, horizon)
     return pairs.filter(F.col("aftershock_id") != F.col("mainshock_id")).select(
         "mainshock_id",
         F.col("time_utc").alias("mainshock_time"),

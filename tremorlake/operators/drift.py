@@ -11,25 +11,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremorlake.operators.ranking import bucket_levels, exact_quantiles, running_before, value_counts
-from tremorlake.schema import DEPTH_RANGE_KM, MAGNITUDE_RANGE, PSI_CRITICAL, PSI_MODERATE
+from tremorlake.schema import PSI_CRITICAL, PSI_MODERATE
 from tremorlake.session import cut_lineage
 
 # Windows and minimum sizes of the quick check.
 RECENT_DAYS, REFERENCE_DAYS = 7, 30
 MIN_REFERENCE, MIN_RECENT = 50, 10
-# Columns the report watches, with the range that buckets them.
-WATCHED = {
-    "magnitude": MAGNITUDE_RANGE,
-    "depth_km": DEPTH_RANGE_KM,
-    "latitude": (-90.0, 90.0),
-    "longitude": (-180.0, 180.0),
-}
+# Columns the report watches.
+WATCHED = ("magnitude", "depth_km", "latitude", "longitude")
 # Bins of the stability index and its floor for empty shares.
 PSI_BINS = 10
 EMPTY_SHARE = 1e-6
-# A column has drifted when the two-sample statistic is significant at
-# 5 % (small reference) or the distance reaches a tenth of a standard deviation.
-SMALL_REFERENCE = 1000
+# A column has drifted by the two-sample statistic if that is significant at
+# 5 %, and by the distance if that reaches a tenth of a standard deviation.
 KS_FACTOR_5_PERCENT = 1.3581
 DISTANCE_LIMIT = 0.1
 DRIFTED_SHARE_LIMIT = 0.5
@@ -48,15 +42,13 @@ def drift_counts(events: DataFrame, columns: list[str], reference: Column, curre
         columns,
         {"reference": F.col("_reference"), "current": F.col("_current")},
     ).filter("reference > 0 or current > 0")
-
-    def bound(side: int) -> Column:
-        chain = F.lit(None).cast("double")
-        for name in columns:
-            chain = F.when(F.col("feature") == name, F.lit(float(WATCHED[name][side]))).otherwise(chain)
-        return chain
-
-    levels = bucket_levels(F.col("value"), bound(0), bound(1))
-    return cut_lineage(counts.withColumns(levels), "value-counts")
+    counts = cut_lineage(counts, "value-counts")
+    # One row per column.
+    bounds = counts.groupBy("feature").agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
+    width = F.when(F.col("_high") > F.col("_low"), F.col("_high") - F.col("_low")).otherwise(1.0)
+    levels = bucket_levels(F.col("value"), F.col("_low"), F.col("_low") + width)
+    levelled = counts.join(F.broadcast(bounds), "feature").withColumns(levels)
+    return cut_lineage(levelled.drop("_low", "_high"), "levelled-counts")
 
 
 def psi_from_counts(counts: DataFrame, bins: int = PSI_BINS) -> DataFrame:
@@ -197,26 +189,28 @@ def two_sample_distances(counts: DataFrame) -> DataFrame:
     )
 
 
-def drift_report(events: DataFrame) -> DataFrame:
+def drift_report(events: DataFrame, method: str = "distance") -> DataFrame:
     """Per watched column: KS, normalised distance, PSI and verdict, last week against all before.
 
     Rows with a null in any watched column are left out on both sides. Every row
-    repeats the share of drifted columns and the verdict for the whole table.
+    repeats the share of drifted columns and the verdict for the whole table. Both tests
+    are shown; ``method``, "distance" or "ks", says which one decides.
     """
+    if method not in ("distance", "ks"):
+        raise ValueError(f"no such method: {method}")
     columns = list(WATCHED)
     windowed, reference, current = _windowed(events.select("time_utc", *columns), None)
     counts = drift_counts(windowed.na.drop(subset=columns), columns, reference, current)
     joined = two_sample_distances(counts).join(psi_from_counts(counts), "feature")
     n, m = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
     significant = F.col("ks") > F.lit(KS_FACTOR_5_PERCENT) * F.sqrt((n + m) / (n * m))
-    drifted = F.when(n <= SMALL_REFERENCE, significant).otherwise(
-        F.col("wasserstein_normed") >= DISTANCE_LIMIT
-    )
     # One row per watched column: the window sees as many rows as there are columns.
     table = Window.partitionBy(F.lit(0))
     share = F.avg(F.col("drifted").cast("double")).over(table)
     return (
-        joined.withColumn("drifted", drifted)
+        joined.withColumn("ks_drifted", significant)
+        .withColumn("distance_drifted", F.col("wasserstein_normed") >= DISTANCE_LIMIT)
+        .withColumn("drifted", F.col(f"{method}_drifted"))
         .withColumn("drift_share", share)
         .withColumn("dataset_drift", F.col("drift_share") >= DRIFTED_SHARE_LIMIT)
     )

@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 def _window(keys: Sequence[str], order: Sequence[str]) -> Window:
     spec = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return spec.orderBy(*order)
+    return spec.orderBy(*[F.asc_nulls_last(c) for c in order])
+
+
+def join_with_nulls(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a null key meets a null key, so no row is lost; keys come once."""
+    named = other.withColumnsRenamed({k: f"_other_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys]
+    return df.join(named, same).drop(*[f"_other_{k}" for k in keys])
 
 
 def running_before(
@@ -28,7 +35,7 @@ def running_before(
 ) -> DataFrame:
     """Add ``<measure>_before``: the sum of each measure over all earlier rows.
 
-    Rows are ordered by ``levels`` then ``order`` within ``groups``. ``levels``
+    Rows are ordered by ``levels`` then ``order`` within ``groups``, nulls last. ``levels``
     are columns that coarsen the order, coarsest first; the number of values of
     each within the one before it must be bounded, as one task sees that many.
     """
@@ -40,7 +47,7 @@ def running_before(
     totals = df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
     offsets = running_before(totals, measures, [levels[-1]], groups, levels[:-1])
     offsets = offsets.select(*keys, *[F.col(f"{m}_before").alias(f"{m}_offset") for m in measures])
-    joined = df.select("*", *inner).join(offsets, keys)
+    joined = join_with_nulls(df.select("*", *inner), offsets, keys)
     carried = {f"{m}_before": F.col(f"{m}_before") + F.col(f"{m}_offset") for m in measures}
     return joined.withColumns(carried).drop(*[f"{m}_offset" for m in measures])
 
@@ -64,7 +71,7 @@ def rank_in_levels(
     offsets = running_before(counts, ["rows"], [last], groups, coarse).select(*keys, "rows_before")
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     numbered = levelled.withColumn("_number", number)
-    matched = numbered.join(offsets, keys)
+    matched = join_with_nulls(numbered, offsets, keys)
     return matched.withColumn(name, F.col("rows_before") + F.col("_number")).drop(
         "_number", "rows_before", *levels
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.operators.ranking import rank_in_levels
+from tremorlake.operators.ranking import join_with_nulls, rank_in_levels
 from tremorlake.schema import SEED, TARGET, TEST_SIZE
 
 
@@ -18,7 +18,7 @@ def row_digest(*columns: str, salt: str = "") -> Column:
 def time_split(features: DataFrame, test_size: float = TEST_SIZE) -> DataFrame:
     """Add ``part``: the oldest rows are train, the newest are test.
 
-    Rows are ordered by mainshock time; rows of one instant are ordered by a
+    Rows are ordered by mainshock time, those without one last; rows of one instant are ordered by a
     digest of their key, whose prefix also spreads a crowded instant over tasks.
     A day holds few instants, since isolated mainshocks are sparse in space.
     """
@@ -40,7 +40,7 @@ def stratified_split(
     """Add ``part``: the same test share in every class, chosen by digest.
 
     Used when rows carry no time. Each class is ranked over digest prefixes, so
-    even two classes spread over many tasks.
+    even two classes spread over many tasks. Rows without a label are a class of their own.
     """
     digest = row_digest(*keys, salt=str(seed))
     levels = {"_coarse": F.substring(digest, 1, 2), "_fine": F.substring(digest, 3, 2)}
@@ -48,7 +48,7 @@ def stratified_split(
     sizes = features.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
     test = F.col("_position") <= F.round(F.col("_size") * F.lit(test_size))
     return (
-        ranked.join(sizes, label)
+        join_with_nulls(ranked, sizes, [label])
         .withColumn("part", F.when(test, "test").otherwise("train"))
         .drop("_position", "_size")
         .select(*features.columns, "part")
