@@ -157,9 +157,22 @@ def test_pipeline(spark):
     assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in docs.select("doc_id").collect()}
 
 
-def test_no_link_of_a_large_group_is_lost(table):
-    wanted = {(11, 57), (12, 40), (40, 58)}
-    rows = [(1, n) for n in range(60)] + [(2, n) for n in range(0, 60, 2)]
+@pytest.mark.parametrize("block", [2_000, 7])
+def test_no_link_of_a_large_group_is_lost(table, monkeypatch, block):
+    monkeypatch.setattr(graph, "BLOCK_NODES", block)
+    rng = np.random.default_rng(2)
+    bases = rng.integers(0, 10**6, (3, 40))
+    texts = {}
+    for n in range(80):
+        changed = bases[n % 3].copy()
+        changed[rng.choice(40, int(rng.integers(0, 9)), replace=False)] = rng.integers(0, 10**6)
+        texts[n] = " ".join(map(str, sorted(set(changed.tolist()))))
+    rows = [(1, n) for n in range(80)] + [(2, n) for n in range(0, 80, 2)]
+    sets = {n: set(t.split()) for n, t in texts.items()}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    wanted, joined = {(a, b) for b in sets for a in range(b) if alike(a, b)}, Sets()
+    for a, b in wanted:
+        joined.join(a, b)
     seen = []
 
     def verify(pairs):
@@ -168,7 +181,28 @@ def test_no_link_of_a_large_group_is_lost(table):
         return table([p for p in kept if p in wanted], "a long, b long")
 
     members = graph.shared_keys(table(rows, "key long, node long"))
-    links, roots = graph.linked(members, verify)
-    assert {(r.a, r.b) for r in links.collect()} == wanted
-    assert {(r.node, r.root) for r in roots.collect()} == {(11, 11), (57, 11), (12, 12), (40, 12), (58, 12)}
-    assert len(seen) == len(set(seen))
+    contents = table(list(texts.items()), "node long, content string")
+    elements = lambda t: np.array(t.split(), np.uint64)
+    links, roots = graph.linked(members, verify, contents, elements, 0.8)
+    found = {(r.a, r.b) for r in links.collect()}
+    assert found <= wanted and len(seen) < 80
+    low = {}
+    for n in sorted({n for pair in wanted for n in pair}):
+        low.setdefault(joined.top(n), n)
+    assert 1 < len(low) and {r.node: r.root for r in roots.collect()} == {n: low[joined.top(n)] for pair in wanted for n in pair}
+
+
+def test_elements_of_a_bag_keep_its_similarity():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        one, other = (" ".join(map(str, rng.integers(0, 3, int(rng.integers(0, 30))))) for _ in range(2))
+        a, b = set(bag_minhash.bag_elements(one).tolist()), set(bag_minhash.bag_elements(other).tolist())
+        x, y = bag(one), bag(other)
+        assert len(a) == sum(x.values()) and len(a & b) == sum((x & y).values())
+
+
+def test_shingle_digests_keep_a_lines_shingles():
+    for one, other in (("", "a"), ("abcdefgh", "abcdefghi"), ("abababababab", "bababababa"), ("short", "short"), ("naïve \U0001f600 text", "naïve \U0001f600 texts")):
+        a, b = set(line_dedup.shingle_digests(one).tolist()), set(line_dedup.shingle_digests(other).tolist())
+        x, y = line_dedup.shingles(one), line_dedup.shingles(other)
+        assert len(a) == len(x) - (one == "") and len(a & b) == len(x & y)

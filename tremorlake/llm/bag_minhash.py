@@ -108,6 +108,15 @@ def band_keys(texts: list[str], shingle: int = SHINGLE, bands: int = BANDS, rows
     return mixed(keys).view(np.int64), has
 
 
+def bag_elements(text: str, shingle: int = SHINGLE):
+    """Digests of a bag as a set: an element for each occurrence, so that the Jaccard similarity of sets is the bags' own."""
+    import numpy as np
+
+    values, counts = bag(text, shingle)
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return mixed(np.repeat(values, counts) + nth.astype(np.uint64) * np.uint64(_GOLDEN))
+
+
 def alike(one, other, similarity: float = SIMILARITY) -> bool:
     """Weighted Jaccard similarity of two bags, exactly."""
     import numpy as np
@@ -176,7 +185,13 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     numbered = _numbered(docs, text)
     signed = cut_lineage(_signed(numbered), "signed-texts")
     rows = signed.select(F.explode("keys").alias("key"), "node")
-    _, roots = linked(shared_keys(rows), _verifier(numbered))
+    _, roots = linked(
+        shared_keys(rows),
+        _verifier(numbered),
+        numbered.select("node", F.col("text").alias("content")),
+        bag_elements,
+        SIMILARITY,
+    )
     placed = join_narrow(signed.select("doc", "node"), roots, "node", "left")
     return cut_lineage(placed.select("doc", F.coalesce("root", "node").alias("root")), "classes")
 

@@ -2,17 +2,20 @@
 
 Candidates come as rows (key, node): nodes that share a key may be alike. Every node is
 first compared with the smallest of its group, which settles groups of copies in as many
-comparisons as they have members. Groups that still lie in several components go through
-turns: some nodes from outside the group's main component are compared with all members
-of other components and leave the group. What is joined already needs no comparison, so
-the work is the group's size times the nodes that stay outside its main component. It
-goes on until no two components of a group are left uncompared, so no link is lost.
+comparisons as they have members. Groups that still lie in several components are cut
+into blocks of bounded size, and every two blocks of a group meet in one task. There each
+member from outside the group's main component is held against all members at once, by
+counting the elements it shares with each, exactly. A task returns a link only where it
+joins two components, so the rows are bounded by the members, and no link that matters is
+lost. Time is the group's size times its members outside the main component, in tasks of
+bounded memory that run side by side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,9 @@ from tremorlake.session import cut_lineage
 # Rows of two whole numbers up to which a table is sent to every executor: 16 bytes each,
 # about 60 in the hash table, so 30 MB. Larger tables are joined by Spark's own choice.
 SENT_ROWS = 500_000
+# Characters and members of a block, on average. Two of them meet in a task, as some ten
+# arrays of eight bytes for each character at most: under 200 MB. A longer text is a block.
+BLOCK_CHARS, BLOCK_NODES = 1_000_000, 2_000
 
 
 def join_narrow(rows: DataFrame, narrow: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
@@ -54,44 +60,95 @@ def _split_members(members: DataFrame, roots: DataFrame) -> DataFrame:
     return cut_lineage(join_narrow(placed, split, "key"), "split-members")
 
 
-def _pivots(inside: DataFrame, turn: int) -> DataFrame:
-    """``key, pivot, pivot_root``: up to 1, 2, 4, ... members per key from outside its main component.
+def block_links(sets: list, roots: list[int], main: int, sides, similarity: float) -> list[tuple[int, int]]:
+    """Places of pairs that are alike and join two components, after all pairs across components were considered.
 
-    A digest of the turn deals them to slots and picks the first of each, so turns take different ones.
+    ``sets`` are arrays of distinct 64-bit digests; pairs on the same side are left out if both sides are there.
     """
-    order = F.xxhash64(F.lit(turn), "key", "node")
-    outside = inside.filter("root <> main").withColumn("order", order)
-    slots = outside.withColumn("slot", F.pmod("order", F.lit(1 << (turn - 1))))
-    least = slots.groupBy("key", "slot").agg(F.min(F.struct("order", "node", "root")).alias("least"))
-    return least.select("key", F.col("least.node").alias("pivot"), F.col("least.root").alias("pivot_root"))
-
-
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """The links that ``verify`` confirms and the components: (``a, b``) and (``node, root``).
-
-    A pivot has been compared with all others of its key and leaves it. A key leaves with
-    the last of its members outside its main component. So no pair of a key is left open,
-    and none is compared twice.
+    import numpy as np
+
+    parent = {r: r for r in roots}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    lengths = np.array([len(x) for x in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), lengths)
+    _, element = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(lengths)))
+    holders = owner[np.argsort(element, kind="stable")]
+    ends = np.cumsum(np.bincount(element))
+    begins = ends - np.bincount(element)
+    crossing, out = sides.min() != sides.max(), []
+    for n, root in enumerate(roots):
+        if root == main:
+            continue
+        mine = element[starts[n] : starts[n + 1]]
+        counts = ends[mine] - begins[mine]
+        at = np.arange(counts.sum()) + np.repeat(begins[mine] - (np.cumsum(counts) - counts), counts)
+        both = np.bincount(holders[at], minlength=len(sets))
+        alike = both >= similarity * (lengths[n] + lengths - both)
+        if crossing:
+            alike &= sides != sides[n]
+        for other in np.nonzero(alike)[0].tolist():
+            one, two = find(root), find(roots[other])
+            if one != two:
+                parent[one] = two
+                out.append((n, other))
+    return out
+
+
+def _joining_links(inside: DataFrame, contents: DataFrame, elements: Callable, similarity: float) -> DataFrame:
+    """``a, b``: links between components of the groups in ``inside``; ``contents`` is ``node, content``."""
+    nodes = cut_lineage(inside.select("node").distinct(), "nodes")
+    wanted = join_narrow(contents, nodes, "node", "left_semi")
+    texts = cut_lineage(wanted.groupBy("node").agg(F.first("content").alias("content")), "node-contents")
+    lengths = cut_lineage(texts.select("node", F.length("content").cast("bigint").alias("chars")), "node-lengths")
+    sizes = join_narrow(inside.select("key", "node"), lengths, "node").groupBy("key").agg(
+        F.greatest(F.ceil(F.sum("chars") / BLOCK_CHARS), F.ceil(F.count(F.lit(1)) / BLOCK_NODES)).cast("int").alias("blocks")
+    )
+    sizes = cut_lineage(sizes.withColumn("blocks", F.greatest("blocks", F.lit(1))), "group-blocks")
+    mine = F.pmod(F.xxhash64("key", "node"), F.col("blocks")).cast("int")
+    dealt = join_narrow(inside, sizes, "key").withColumn("mine", mine)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other"))
+    rows = dealt.join(texts, "node").select("key", "low", "high", "mine", "node", "root", "main", "content")
+
+    def compare(group: pa.Table) -> pa.Table:
+        import numpy as np
+
+        nodes, roots = group.column("node").to_pylist(), group.column("root").to_pylist()
+        found = []
+        if len(set(roots)) > 1:
+            sets = [elements(x) for x in group.column("content").to_pylist()]
+            sides = np.asarray(group.column("mine").to_pylist(), np.int64)
+            found = block_links(sets, roots, group.column("main")[0].as_py(), sides, similarity)
+        ends = zip(*((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for i, j in found))
+        a, b = ends if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return cut_lineage(rows.groupBy("key", "low", "high").applyInArrow(compare, "a bigint, b bigint").distinct(), "joining-links")
+
+
+def linked(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    contents: DataFrame,
+    elements: Callable,
+    similarity: float,
+) -> tuple[DataFrame, DataFrame]:
+    """The links that make the components, and these: (``a, b``) and (``node, root``).
+
+    ``verify`` keeps the pairs that are alike. ``elements`` gives the distinct digests of a
+    content whose Jaccard similarity is meant.
     """
-    tried = cut_lineage(star_pairs(members), "star-pairs")
-    links = cut_lineage(verify(tried), "star-links")
-    roots, turn = components(links), 0
-    members = members.filter("node <> first").select("key", "node")
-    while True:
-        turn += 1
-        inside = _split_members(members, roots)
-        if inside.isEmpty():
-            return links, roots
-        pivots = cut_lineage(_pivots(inside, turn), "pivots")
-        met = join_narrow(inside, pivots, "key").filter("root <> pivot_root")
-        pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"), "pivot-pairs")
-        tried = tried.unionByName(pairs)
-        gone = pivots.select("key", F.col("pivot").alias("node"))
-        members = inside.select("key", "node").join(gone, ["key", "node"], "left_anti")
-        more = cut_lineage(verify(pairs), "pivot-links")
-        if not more.isEmpty():
-            links, roots = links.unionByName(more), merged(roots, more)
+    links = cut_lineage(verify(cut_lineage(star_pairs(members), "star-pairs")), "star-links")
+    roots = components(links)
+    inside = _split_members(members, roots)
+    more = _joining_links(inside, contents, elements, similarity)
+    return links.unionByName(more), merged(roots, more)
 
 
 def merged(roots: DataFrame, links: DataFrame) -> DataFrame:

@@ -111,6 +111,18 @@ def shingles(line: str, shingle: int = SHINGLE) -> set[str]:
     return {line[i : i + shingle] for i in range(max(1, len(line) - shingle + 1))}
 
 
+def shingle_digests(line: str, shingle: int = SHINGLE):
+    """Distinct 64-bit digests of a line's shingles."""
+    import numpy as np
+
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = min(shingle, len(codes))
+    rolled = np.zeros(len(codes) - size + 1, np.uint64)
+    for n in range(size):
+        rolled = _mixed(rolled * np.uint64(0x9E3779B97F4A7C15) + codes[n : n + len(rolled)] + np.uint64(1))
+    return np.unique(rolled)
+
+
 def alike(one: set, other: set, similarity: float = SIMILARITY) -> bool:
     """Jaccard similarity of at least the bound, worked out in whole terms."""
     if min(len(one), len(other)) < similarity * max(len(one), len(other)):
@@ -179,7 +191,13 @@ def doomed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     signed = cut_lineage(_signed(lines.select("doc", "place", "line_id", "node", "line")), "signed-lines")
     # A line that stands more than once would repeat its bands; the keys are told apart per node later.
     rows = signed.select(F.explode("keys").alias("key"), "node")
-    _, roots = linked(shared_keys(rows), _verifier(lines))
+    _, roots = linked(
+        shared_keys(rows),
+        _verifier(lines),
+        lines.select("node", F.col("line").alias("content")),
+        shingle_digests,
+        SIMILARITY,
+    )
     met = signed.groupBy("node").agg(F.min("line_id").alias("first"), F.count(F.lit(1)).alias("times"))
     # Only lines that stand more than once or are linked can lose; all others are left out here.
     placed = met.join(roots, "node", "left").filter("times > 1 or root is not null")
