@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tremorlake.llm import bag_minhash, graph, line_dedup, passages
+from tremorlake.llm.words import run_digests
 
 DATA = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(DATA).exists(), reason="driver data is absent")
@@ -118,6 +119,50 @@ def test_windows_cover_every_passage():
                 assert any(hashes[c] == hashes[i : j + 1].min() and a <= i and j <= z for c, a, z in cut)
 
 
+def passages_of(one, other, **sizes):
+    digests = lambda words: run_digests(" ".join(map(str, words)), sizes.get("shingle", passages.SHINGLE))
+    return passages.common_passages(digests(one), digests(other), **sizes)
+
+
+@pytest.mark.parametrize("gap", range(1, 13))
+@pytest.mark.parametrize("neighbours", [0, 40])
+def test_edited_passages_are_found(gap, neighbours):
+    rng = np.random.default_rng(gap)
+    word = lambda n: rng.integers(0, 10**9, n).tolist()
+    n = 9 * gap + 41
+    passage, near = word(n), word(neighbours)
+    for edited in (passage[: n // 2] + word(gap) + passage[n // 2 :], passage[: n // 2] + word(gap) + passage[n // 2 + gap :]):
+        one, other = word(30) + passage + word(70), word(10) + edited + word(90)
+        # The neighbouring text is shared, but lies elsewhere in the other document.
+        one, other = one[: 30 + n] + near + one[30 + n :], near + word(60) + other
+        alike = len({*zip(*(passage[k:] for k in range(5)))} & {*zip(*(edited[k:] for k in range(5)))})
+        assert alike >= 0.8 * (len(passage) + len(edited) - 8 - alike)
+        for a, b in ((one, other), (other, one)):
+            assert any(r[1] >= n // 2 and r[4] >= 0.8 for r in passages_of(a, b))
+
+
+def test_common_passages_against_all_stretches():
+    rng, size, found = np.random.default_rng(11), 8, 0
+    for _ in range(150):
+        vocabulary = int(rng.choice([3, 30, 10**6]))
+        word = lambda n: rng.integers(0, vocabulary, n).tolist()
+        passage = word(int(rng.integers(8, 20)))
+        edited, at = list(passage), int(rng.integers(0, 8))
+        edited[at : at + int(rng.integers(0, 3))] = rng.integers(10**7, 10**8, int(rng.integers(0, 3))).tolist()
+        one, other = word(int(rng.integers(2, 6))) + passage + word(3), word(2) + edited + word(int(rng.integers(1, 6)))
+        one_of, other_of = ([*zip(x, x[1:], x[2:])] for x in (one, other))
+        stretches = [[(i, j, {*x[i : j + 1]}) for i in range(len(x)) for j in range(i + size - 1, len(x))] for x in (one_of, other_of)]
+        alike = [(i, j, k, m) for i, j, x in stretches[0] for k, m, y in stretches[1] if len(x & y) >= 0.8 * len(x | y)]
+        got = passages_of(one, other, length=size + 2, shingle=3)
+        for a, n, b, m, similarity in got:
+            x, y = {*one_of[a : a + n - 2]}, {*other_of[b : b + m - 2]}
+            assert min(n, m) >= size + 2 and similarity >= 0.8 and abs(len(x & y) / len(x | y) - similarity) < 1e-9
+        for i, j, k, m in alike:
+            assert any(a <= j and i < a + n - 2 for a, n, *_ in got) and any(b <= m and k < b + n - 2 for _, _, b, n, _ in got)
+        found += bool(alike)
+    assert found > 30
+
+
 def test_passages(table):
     rng = np.random.default_rng(3)
     word = lambda n: " ".join(f"u{x}" for x in rng.integers(0, 10**9, n))
