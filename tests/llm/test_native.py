@@ -77,3 +77,45 @@ def test_pseudonyms(table):
 def test_grid_is_a_permutation(spark):
     moved = spark.range(92 * 397).select(pii.on_grid(pii.F.col("id"), 92, 397, "date", "k").alias("v"))
     assert sorted(r.v for r in moved.collect()) == list(range(92 * 397))
+
+
+PHONES = """555 123 4567|+1 555 123 4567|5551234567|(555) 123-4567|555.123.4567|+33 1 23 45 67 89|+33 (0)1 23 45 67 89|0033 1 23 45 67 89
++49 30 1234567|+49 (0)30 1234567|+49 (30) 123456|+49 170 1234567|+44 20 7946 0958|+44 (0)20 7946 0958|+34 612 345 678|+15551234567|+33123456789
+01 23 45 67 89|01.23.45.67.89|0123456789|030 1234567|030/1234567|0170 123 4567|020 7946 0958|(020) 7946 0958|01701234567|612 345 678|612 34 56 78
++353 1 234 5678|+41 44 668 18 00|1-800-555-1234|+33\u00a01\u00a023\u00a045\u00a067\u00a089|+972-3-1234567|+1-555-123-4567|+1 (555)123-4567""".replace("\n", "|").split("|")
+IBANS = "ES9121000418450200051332|DE89370400440532013000|GB29NWBK60161331926819|FR1420041010050500013M02606|NO9386011117947|NL91ABNA0417164300|MT84MALT011000012345MTLCAST001S".split("|")
+
+
+def spaced(iban):
+    return " ".join(iban[n : n + 4] for n in range(0, len(iban), 4))
+
+
+def test_values_in_many_forms_are_found(table):
+    ends = ("", ".", " THE end", " called", ", 2024")
+    cases = [(kind, value, end) for kind, values in (("phone", PHONES), ("iban", [*IBANS, *map(spaced, IBANS)])) for value in values for end in ends]
+    cases += [("iban", spaced(x), end) for x in IBANS for end in (" 2024", " THE 2024 AB")]
+    rows = [(n, f"Tel: {value}{end}") for n, (_, value, end) in enumerate(cases)]
+    got = {r.doc_id: r for r in pii.pseudonymised(table(rows, "doc_id long, text string")).collect()}
+    missed = [c for n, c in enumerate(cases) if [(f.kind, f.value) for f in got[n].finds] != [c[:2]]]
+    assert not missed
+    again = {r.doc_id: r for r in pii.pseudonymised(table([(n, r.text) for n, r in got.items()], "doc_id long, text string")).collect()}
+    for n, (kind, value, end) in enumerate(cases):
+        moved = got[n].finds[0].pseudonym
+        assert moved != value and got[n].text == f"Tel: {moved}{end}"
+        assert re.sub("[0-9A-Za-z]", "x", moved) == re.sub("[0-9A-Za-z]", "x", value)
+        if value[0] == "+":
+            assert moved[:2] == value[:2]
+        if kind == "iban":
+            assert [(f.kind, f.value) for f in again[n].finds] == [(kind, moved)]
+
+
+def test_other_numbers_are_not_telephone_numbers(table):
+    texts = ["1700000000 seconds", "in 2023 2024 2025", "1,234,567,890", "12 345", "v1.22.333", "+5", "a5551234567", "5551234567b", "4041894974608796", "00 12"]
+    rows = pii.pseudonymised(table(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == list(enumerate(texts)) and not any(r.finds for r in rows)
+
+
+def test_telephone_numbers_stay_different(table):
+    rows = list(enumerate([f"+49 30 {n:04d}" for n in range(3000)] + [f"{n:03d} 555 1234" for n in range(1000)]))
+    out = [r.text for r in pii.pseudonymised(table(rows, "doc_id long, text string")).collect()]
+    assert len(set(out)) == len(rows)

@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms by a keyed Feistel network, in built-in functions only.
 
 Found and validated: e-mail addresses, payment cards (Luhn), IBANs (mod 97), social
-security numbers, telephone numbers, IPv4 addresses and calendar dates. Each value is
+security numbers, telephone numbers (international, and as written in North America, France, Spain,
+Germany and Britain; ten bare digits count as one), IPv4 addresses and calendar dates. Each value is
 moved by a keyed permutation of its own format, so equal values get equal pseudonyms in
 every document, different values different ones, and the result is valid again: a card
 keeps its length and separators and passes Luhn, a date stays in its century.
@@ -31,14 +32,64 @@ _DONE = r"(?![\p{L}\p{N}_])"
 _NAME = r"\p{L}\p{N}._%+\-"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
+# Characters of an account code by country, check digits included.
+_IBANS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_forms() -> str:
+    """Each country with its length, so a find never takes what follows it; others by the general form."""
+    forms = []
+    for length, countries in _IBANS.items():
+        groups, rest = divmod(length - 4, 4)
+        spaced = rf"(?: [A-Z0-9]{{4}}){{{groups}}}" + (rf" [A-Z0-9]{{{rest}}}" if rest else "")
+        forms.append(rf"(?:{countries.replace(' ', '|')})\d{{2}}(?:[A-Z0-9]{{{length - 4}}}|{spaced})")
+    known = "|".join(" ".join(_IBANS.values()).split())
+    forms.append(rf"(?!{known})[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?)")
+    return "|".join(forms)
+
+
+# Between digits of a telephone number: a space of any kind, dot, hyphen or slash.
+_SEP = r"[ .\-/\u00A0\u202F\u2011]"
+_NEXT = rf"(?:{_SEP}?\d)"
+_CODE = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|(?:2[1-689]|3[578]|42|5[09]|6[7-9]|8[035789]|9[679])\d)"
+# After the country code, by its plan if its numbers have one length. A trunk zero may stand in brackets.
+_AREA = rf"{_SEP}?(?:\(0\){_SEP}?)?(?:\(\d{{2,5}}\))?"
+_ABROAD = "|".join(
+    (
+        rf"1{_SEP}?(?:\(\d{{3}}\){_SEP}?\d{{3}}|\d{{3}}{_SEP}?\d{{3}}){_SEP}?\d{{4}}",
+        rf"3[34]{_SEP}?(?:\(0\){_SEP}?)?\d{_NEXT}{{8}}",
+        rf"44{_SEP}?(?:\(0\){_SEP}?)?(?:\(\d{{2,5}}\){_NEXT}{{5,8}}|\d{_NEXT}{{8,9}})",
+        rf"(?!1|3[34]|44){_CODE}{_AREA}{_NEXT}{{4,12}}",
+    )
+)
+_PHONES = "|".join(
+    (
+        rf"(?:\+|00{_SEP}?)(?:{_ABROAD})",
+        # As written in North America, with any country code before it.
+        rf"(?:\+\d{{1,3}}{_SEP}?|1{_SEP})?(?:\(\d{{3}}\) ?|\d{{3}}{_SEP})\d{{3}}{_SEP}\d{{4}}",
+        # France by pairs, Spain by pairs or threes.
+        rf"0[1-9](?:{_SEP}?\d{{2}}){{4}}",
+        rf"[6-9]\d{{2}}(?:(?:{_SEP}\d{{3}}){{2}}|(?:{_SEP}\d{{2}}){{3}})",
+        # Germany and Britain: an area code with its zero, then the number.
+        rf"(?:\(0[1-9]\d{{1,4}}\){_SEP}?|0[1-9]\d{{1,4}}{_SEP})\d{{3,4}}{_SEP}?\d{{3,4}}",
+        # Bare: ten digits, eleven with a zero before them.
+        r"[2-9]\d{9}|0[1-9]\d{9}",
+    )
+)
+
 # A find is of the first kind whose whole pattern it meets.
 PATTERNS = {
     "email": rf"(?<![{_NAME}])[{_NAME}]++@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*+)\.)++[A-Za-z]{{2,}}+",
-    "iban": rf"{_FREE}[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?){_DONE}",
+    "iban": rf"{_FREE}(?:{_iban_forms()}){_DONE}",
     "date": rf"{_FREE}(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{2}}[./]\d{{2}}[./]\d{{4}}){_DONE}",
     "ipv4": rf"(?<![\p{{L}}\p{{N}}_.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}_]|\.\d)",
     "ssn": rf"{_FREE}\d{{3}}-\d{{2}}-\d{{4}}{_DONE}",
-    "phone": rf"(?<![\p{{L}}\p{{N}}_+])(?:\+\d{{1,3}}[ .\-]?)?(?:\(\d{{3}}\) ?|\d{{3}}[.\-])\d{{3}}[ .\-]\d{{4}}{_DONE}",
+    "phone": rf"(?<![\p{{L}}\p{{N}}_+])(?:{_PHONES}){_DONE}",
     "card": rf"{_FREE}(?:\d{{13,19}}|\d{{4}}(?:[ \-]\d{{4}}){{3}}|\d{{4}}[ \-]\d{{6}}[ \-]\d{{5}}){_DONE}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -121,12 +172,21 @@ def card(text: Column, key: str) -> Column:
     return _filled(text, bind(_digits(text), run))
 
 
+def is_phone(text: Column) -> Column:
+    """Seven to fifteen digits, the country code included and a bracketed trunk zero and 00 left out."""
+    return F.length(_digits(F.regexp_replace(text, r"^00|\(0\)", ""))).between(7, 15)
+
+
 def phone(text: Column, key: str) -> Column:
-    """The last ten digits are permuted, a country code stays."""
+    """All digits are permuted, but for the country code and a leading or bracketed zero."""
 
     def run(digits: Column) -> Column:
-        tail = digits_permuted(F.right(digits, F.lit(10)), "phone", key)
-        return F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), tail)
+        abroad = text.startswith("+") | text.startswith("00")
+        code = F.length(_digits(F.regexp_extract(text, rf"^(?:\+|00{_SEP}?){_CODE}(?:{_SEP}?\(0\))?", 0)))
+        # Three, three and four digits are one format, whatever they begin with; the others keep their first digit.
+        threes = text.rlike(rf"^(?:\(\d{{3}}\) ?|\d{{3}}{_SEP})\d{{3}}{_SEP}\d{{4}}$")
+        head = F.when(threes, 0).when(abroad & (code > 0), code).when(abroad, F.length(digits) - 10).otherwise(1)
+        return bind(head, lambda n: F.concat(F.substring(digits, F.lit(1), n), digits_permuted(F.substring(digits, n + 1, F.length(digits)), "phone", key)))
 
     return _filled(text, bind(_digits(text), run))
 
@@ -297,7 +357,7 @@ def iban(text: Column, key: str) -> Column:
     return bind(bind(F.replace(text, F.lit(" ")), run), spaced)
 
 
-_VALID = {"card": is_card, "ssn": is_ssn, "date": is_date, "iban": is_iban}
+_VALID = {"card": is_card, "ssn": is_ssn, "date": is_date, "iban": is_iban, "phone": is_phone}
 _MOVE = {"email": email, "iban": iban, "date": date, "ipv4": ipv4, "ssn": ssn, "phone": phone, "card": card}
 
 
