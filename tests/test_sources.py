@@ -67,6 +67,28 @@ def test_bulletin_rejects_rows_one_by_one(spark, tmp_path):
     assert reasons == ["depth_km", "event_id", "event_id,magnitude", "latitude", "latitude", "magnitude"]
 
 
+def test_broken_bulletin_items_and_documents_are_rejected(spark, tmp_path):
+    out = bulletin(spark, tmp_path / "items", [ITEM, 5, "text", None, ["list"], {**ITEM, "Magnitude": "4.0", "Extra": {"a": [1]}}])
+    assert sorted(r.feed_position for r in out.events.collect()) == [0, 5]
+    assert sorted((r.item or "", r.reason) for r in out.rejects.collect()) == sorted([("", "item"), ('["list"]', "item"), ("5", "item"), ("text", "item")])
+    lines = [json.dumps({"Infogempa": {"gempa": [ITEM]}}), '{"Infogempa": {"gempa": [{"Date', json.dumps({"Infogempa": {}}), json.dumps({"Infogempa": {"gempa": "?"}})]
+    write(tmp_path / "documents" / "b.json", "\n".join(lines))
+    out = feeds.scan_bulletin_feed(spark, str(tmp_path / "documents"), "BMKG-terkini")
+    assert out.events.count() == 1
+    assert sorted((r.item or "", r.reason) for r in out.rejects.collect()) == [("", "document"), ("?", "document"), (lines[1], "document")]
+
+
+def test_broken_features_and_documents_are_rejected(spark, tmp_path):
+    sound = {"id": "a", "properties": {"time": 1000, "mag": 5.0}, "geometry": {"coordinates": [1.0, 2.0, 3.0]}}
+    partly = {"id": "b", "properties": {"time": "soon", "mag": 4.0}, "geometry": {"coordinates": [1.0, 2.0, 3.0]}}
+    lines = [json.dumps({"features": [sound, 7, "x", None, partly]}), '{"features": [', json.dumps({"features": 3}), json.dumps({"features": []})]
+    write(tmp_path / "f.json", "\n".join(lines))
+    rows = feeds.scan_geojson_feed(spark, str(tmp_path)).orderBy("feed_position").collect()
+    assert [(r.event_id, r.feed_position, r.latitude) for r in rows] == [("a", 0, 2.0), ("b", 4, 2.0)]
+    rejects = sorted((r.item or "", r.reason) for r in feeds.geojson_rejects(spark, str(tmp_path)).collect())
+    assert rejects == sorted([("", "item"), ("7", "item"), ("x", "item"), (lines[1], "document"), (lines[2], "document")])
+
+
 def test_raw_csv_missing_empty_and_markers(spark, tmp_path):
     assert snapshots.scan_raw_csv(spark, str(tmp_path / "none.csv")).count() == 0
     write(tmp_path / "gempa_1.csv", "")

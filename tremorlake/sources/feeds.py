@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremorlake.functions import text
 from tremorlake.schema import BULLETIN_FEED, GEOJSON_FEED, RAW_COLUMNS
@@ -17,16 +18,43 @@ BULLETIN_SOURCES = ("BMKG-terkini", "BMKG-dirasakan")
 BULLETIN_MAGNITUDE_TYPE = "M"
 BULLETIN_STATUS = "reviewed"
 
+# The text of a document that could not be read.
+_BROKEN = "_broken"
+
+
+def _documents(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """Documents of a schema, and the text of those that do not fit it."""
+    with_broken = T.StructType([*schema, T.StructField(_BROKEN, T.StringType())])
+    reader = ready(spark).read.schema(with_broken).option("columnNameOfCorruptRecord", _BROKEN)
+    return reader.option("multiLine", multi_line).json(path)
+
+
+def _geojson_items(spark: SparkSession, path: str, multi_line: bool) -> tuple[DataFrame, DataFrame]:
+    """The documents, and their features one by one: place, text and what could be read of it."""
+    schema = T.StructType([T.StructField("features", T.ArrayType(T.StringType()))])
+    documents = _documents(spark, path, schema, multi_line)
+    items = documents.select(F.posexplode("features").alias("feed_position", "item"))
+    return documents, items.withColumn("feature", F.from_json("item", GEOJSON_FEED["features"].dataType.elementType))
+
+
+def _is_feature() -> Column:
+    return F.col("feature.id").isNotNull() | F.col("feature.properties").isNotNull() | F.col("feature.geometry").isNotNull()
+
+
+def geojson_rejects(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Documents and features that could not be read at all, each with the reason."""
+    documents, items = _geojson_items(spark, path, multi_line)
+    source = F.lit(GEOJSON_SOURCE).alias("source")
+    broken = documents.filter("features IS NULL").select(source, F.col(_BROKEN).alias("item"), F.lit("document").alias("reason"))
+    return broken.unionByName(items.filter(~F.coalesce(_is_feature(), F.lit(False))).select(source, "item", F.lit("item").alias("reason")))
+
 
 def scan_geojson_feed(
     spark: SparkSession, path: str, ingested_at: Column | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """One row per feature. ``multi_line`` is for documents spread over lines;
+    """One row per feature; ``geojson_rejects`` has what could not be read. ``multi_line`` is for documents spread over lines;
     one document per line can be split between tasks."""
-    documents = (
-        ready(spark).read.schema(GEOJSON_FEED).option("multiLine", multi_line).json(path)
-    )
-    features = documents.select(F.posexplode("features").alias("feed_position", "feature"))
+    features = _geojson_items(spark, path, multi_line)[1].filter(_is_feature())
     at = "feature.properties"
     coordinates = F.col("feature.geometry.coordinates")
     return features.select(
@@ -64,19 +92,21 @@ def scan_bulletin_feed(
     """Flatten ``Infogempa.gempa``, an array or a lone object, item by item.
 
     A missing field has a default, a field that is present but unreadable
-    rejects its row, and one bad row never stops the others.
+    rejects its row, and one bad row never stops the others. Items that are no objects
+    and documents that cannot be read are rejected with their text.
     """
-    documents = (
-        ready(spark).read.schema(BULLETIN_FEED).option("multiLine", multi_line).json(path)
-    )
+    documents = _documents(spark, path, BULLETIN_FEED, multi_line)
     # A lone object is wrapped so that one schema reads both shapes.
     inner = F.trim("Infogempa.gempa")
     as_array = F.when(F.startswith(inner, F.lit("[")), inner).otherwise(
         F.concat(F.lit("["), inner, F.lit("]"))
     )
-    items = documents.select(
-        F.posexplode(F.from_json(as_array, "array<map<string,string>>")).alias("feed_position", "item")
+    listed = documents.select(F.from_json(F.when(inner != "", as_array), "array<string>").alias("items"), inner.alias("inner"), _BROKEN)
+    broken = listed.filter("items IS NULL").select(
+        F.lit(source).alias("source"), F.coalesce(_BROKEN, "inner").alias("item"), F.lit("document").alias("reason")
     )
+    items = listed.select(F.posexplode("items").alias("feed_position", "raw"))
+    items = items.withColumn("item", F.from_json("raw", "map<string,string>"))
 
     def field(name: str, default: str | None = None) -> Column:
         value = F.element_at("item", F.lit(name))
@@ -100,13 +130,15 @@ def scan_bulletin_feed(
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
         F.col("feed_position").cast("long").alias("feed_position"),
         "item",
+        "raw",
     )
     needed = ("event_id", "latitude", "longitude", "depth_km", "magnitude")
-    reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
+    reason = F.when(F.col("item").isNull(), F.lit("item")).otherwise(missing)
     judged = parsed.withColumn("reason", reason)
     return BulletinRows(
         events=judged.filter("reason = ''").select(*RAW_COLUMNS, "feed_position"),
         rejects=judged.filter("reason != ''").select(
-            "source", F.to_json("item").alias("item"), "reason"
-        ),
+            "source", F.coalesce(F.to_json("item"), "raw").alias("item"), "reason"
+        ).unionByName(broken),
     )
