@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tremorlake.llm import bag_minhash, bpe, line_dedup, mixing, passages, pii, quality, token_files, topk, warc
+from tremorlake.llm import bag_minhash, bpe, line_dedup, merkle, mixing, passages, pii, quality, token_files, topk, warc
 
 QUERIES = {
     q.__name__: q
@@ -17,6 +17,7 @@ QUERIES = {
         quality.op8_quality_rules,
         token_files.op9_token_files,
         bpe.op10_bpe,
+        merkle.op13_merkle,
     )
 }
 
@@ -24,4 +25,5 @@ ORACLES = {
     "op1_mixing": mixing.OP1_SQL,
     "op7_topk": topk.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
+    "op13_merkle": merkle.OP13_SQL,
 }
