@@ -224,7 +224,8 @@ def encoded(text: str | Column, path: str) -> Column:
         values = pa.array(np.frombuffer(b"".join(packed), np.int32))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-    return encode(text)
+    # Else the encoder would run a second time below a decoder of its ids.
+    return encode.asNondeterministic()(text)
 
 
 def decoded(ids: str | Column, path: str) -> Column:
