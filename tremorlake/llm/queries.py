@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tremorlake.llm import bag_minhash, bpe, line_dedup, merkle, mixing, passages, pieces, pii, quality, token_files, topk, warc
+from tremorlake.llm import bag_minhash, bpe, divergence, line_dedup, merkle, mixing, passages, pieces, pii, quality, token_files, topk, warc
 
 QUERIES = {
     q.__name__: q
@@ -17,6 +17,7 @@ QUERIES = {
         quality.op8_quality_rules,
         token_files.op9_token_files,
         bpe.op10_bpe,
+        divergence.op11_divergence,
         pieces.op12_pieces,
         merkle.op13_merkle,
     )
@@ -26,5 +27,6 @@ ORACLES = {
     "op1_mixing": mixing.OP1_SQL,
     "op7_topk": topk.OP7_SQL,
     "op8_quality_rules": quality.OP8_SQL,
+    "op11_divergence": divergence.OP11_SQL,
     "op13_merkle": merkle.OP13_SQL,
 }
