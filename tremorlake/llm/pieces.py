@@ -7,7 +7,8 @@ joined since are passed over, until the agenda is empty. Symbols that are no pie
 back to their bytes.
 
 No merge goes over a border that no piece goes over. In a vocabulary whose pieces have the
-space at the front only, those are the places before a run of spaces, and around line ends. So
+space at the front only, those are the places before a run of spaces, around line ends, and
+between a letter and a punctuation mark that follows no letter in any piece. So
 a text is cut there, each chunk is encoded when it is first met, and all first-met chunks
 of an Arrow batch are held against the library in one call; a difference is an error.
 
@@ -24,7 +25,9 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+import string
 from array import array
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,7 +37,8 @@ from tremorlake.llm.worker import Known, held
 
 SPACE = "▁"
 # Characters encoded at a time, ids decoded at a time, and bytes of chunks known to a worker.
-BLOCK, IDS, KNOWN = 1 << 21, 1 << 18, 96 << 20
+BLOCK, IDS, KNOWN = 1 << 20, 1 << 16, 64 << 20
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _UNKNOWN = " ⁇ "
 
 
@@ -80,6 +84,21 @@ def agenda(symbols: list[str], rank: dict[str, int]) -> list[str]:
     return [s for s in symbols if s]
 
 
+def _cuts(merges: Iterable[str]) -> str:
+    """A pattern of chunks: no piece goes over the border of two."""
+    if any(" " in t.lstrip(" ") or "\n" in t for t in merges):
+        return r"[\s\S]+"
+    letter = re.compile(f"[{_LETTERS}]")
+    after_letters = {b for t in merges for a, b in zip(t, t[1:]) if letter.match(a)}
+    marks = "".join(sorted(set(string.punctuation) - after_letters))
+    words = ""
+    if marks:
+        marks = re.escape(marks)
+        # Letters, or marks and letters, that end before a mark, a space or a line end.
+        words = f" *+(?:[{_LETTERS}]++|[{marks}]++[{_LETTERS}]*+)(?![^ \\n{marks}])|"
+    return words + r" *[^ \n]+| +|\n+"
+
+
 class PieceVocabulary:
     """A model file: ranks of pieces, byte pieces, the cutting rule and the decoding table."""
 
@@ -127,10 +146,7 @@ class PieceVocabulary:
         self.offsets = array("q", [0])
         for e in entries:
             self.offsets.append(self.offsets[-1] + len(e))
-        if any(" " in t.lstrip(" ") or "\n" in t for t in merges):
-            self.chunks = re.compile(r"[\s\S]+")
-        else:
-            self.chunks = re.compile(r" *[^ \n]+| +|\n+")
+        self.chunks = re.compile(_cuts(merges))
         # A line end before a chunk keeps the library from adding its own space to it.
         self.lead = self.library.encode("\n")
         self.known = Known(KNOWN)
@@ -159,21 +175,14 @@ class PieceVocabulary:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, four bytes each."""
-        out, first = [], 0
-        while first < len(texts):
-            size, last = 0, first
-            while last < len(texts) and size < BLOCK:
-                size += len(texts[last])
-                last += 1
-            find, prefix = self.chunks.findall, self.prefix
-            split = [find(prefix + t.replace(SPACE, " ")) if t else [] for t in texts[first:last]]
-            new = {c for chunks in split for c in chunks if c not in self.known}
-            if new:
-                self._learn(sorted(new))
-            get = self.known.__getitem__
-            out += [b"".join(map(get, chunks)) for chunks in split]
-            self.known.trim()
-            first = last
+        find, prefix = self.chunks.findall, self.prefix
+        split = [find(prefix + t.replace(SPACE, " ")) if t else [] for t in texts]
+        new = {c for chunks in split for c in chunks if c not in self.known}
+        if new:
+            self._learn(sorted(new))
+        get = self.known.__getitem__
+        out = [b"".join(map(get, chunks)) for chunks in split]
+        self.known.trim()
         return out
 
     def _text(self, ids, raw: bool) -> bytes:
@@ -212,20 +221,47 @@ def _vocabulary(path: str) -> PieceVocabulary:
     return held(("piece vocabulary", path), lambda: PieceVocabulary(path))
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Parts of a bounded number of bytes; a longer text is one of its own."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes) // BLOCK
+    cuts = np.nonzero(np.diff(part))[0] + 1
+    for first, last in zip([0, *cuts], [*cuts, len(texts)]):
+        yield texts.slice(first, last - first)
+
+
+def _ids(vocabulary: PieceVocabulary, texts: pa.Array) -> pa.ListArray:
+    import numpy as np
+
+    packed = vocabulary.encode([t or "" for t in texts.to_pylist()])
+    ends = np.cumsum([0, *map(len, packed)]) // 4
+    values = pa.array(np.frombuffer(b"".join(packed), np.int32))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
+def _texts(vocabulary: PieceVocabulary, rows: pa.ListArray) -> pa.Array:
+    import numpy as np
+
+    out = []
+    for row in rows:
+        ids = row.values
+        ids = np.empty(0, np.int32) if ids is None else ids.drop_null().to_numpy(zero_copy_only=False)
+        out.append(vocabulary.decode(ids))
+    return pa.array(out, pa.string())
+
+
 def encoded(text: str | Column, path: str) -> Column:
     """Ids of a text column."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        import numpy as np
-
-        packed = _vocabulary(path).encode([t or "" for t in texts.to_pylist()])
-        ends = np.cumsum([0, *map(len, packed)]) // 4
-        values = pa.array(np.frombuffer(b"".join(packed), np.int32))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        vocabulary = _vocabulary(path)
+        return pa.concat_arrays([_ids(vocabulary, part) for part in _slices(texts)])
 
-    # Else the encoder would run a second time below a decoder of its ids.
-    return encode.asNondeterministic()(text)
+    return encode(text)
 
 
 def decoded(ids: str | Column, path: str) -> Column:
@@ -233,18 +269,26 @@ def decoded(ids: str | Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def decode(rows: pa.Array) -> pa.Array:
-        import numpy as np
-
-        vocabulary, out = _vocabulary(path), []
-        for row in rows:
-            ids = row.values
-            ids = np.empty(0, np.int32) if ids is None else ids.drop_null().to_numpy(zero_copy_only=False)
-            out.append(vocabulary.decode(ids))
-        return pa.array(out, pa.string())
+        return _texts(_vocabulary(path), rows)
 
     return decode(ids)
 
 
+def round_trip(text: str | Column, path: str) -> Column:
+    """``ids`` of a text column and the text ``decoded`` from them, in one visit to a worker."""
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(texts: pa.Array) -> pa.Array:
+        vocabulary, ids, back = _vocabulary(path), [], []
+        for part in _slices(texts):
+            ids.append(_ids(vocabulary, part))
+            back.append(_texts(vocabulary, ids[-1]))
+        return pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(back)], ["ids", "decoded"])
+
+    # Else it would run once for each field that is taken.
+    return both.asNondeterministic()(text)
+
+
 def encode_texts(docs: DataFrame, text: str = "text", ids: str = "ids", path: str | None = None) -> DataFrame:
     return docs.withColumn(ids, encoded(F.col(f"`{text}`"), path or piece_model()))
 
@@ -259,10 +303,10 @@ def op12_pieces(spark, sf_dir):
     A null text is an empty one; rows that repeat an id are rows of their own; an empty table gives no row.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = decode_ids(encode_texts(docs))
+    both = docs.select("doc_id", round_trip("text", piece_model()).alias("both"))
     return both.select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.size("both.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("both.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("both.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
