@@ -6,7 +6,8 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from tremorlake.llm import bag_minhash, graph, line_dedup, passages
+from tremorlake.llm import bag_minhash, graph, line_dedup, mixing, passages, places
+from tremorlake.llm.places import PLACE, with_place
 from tremorlake.llm.words import run_digests
 
 DATA = "/root/testdata/sf0.001"
@@ -192,14 +193,116 @@ def test_components(spark):
     assert got == {x: low[sets.top(x)] for a, b in links if a != b for x in (a, b)}
 
 
-@needs_data
-def test_pipeline(spark):
+def in_order(docs, *columns):
+    """Rows in the order that the operators give them."""
+    return [tuple(r) for r in with_place(docs).orderBy(*PLACE).select(*columns).collect()]
+
+
+def test_pipeline(spark, tmp_path):
+    """Every stage against a plain one on what its predecessor kept, with texts of its own in a few files."""
+    import hashlib
+
     import corpus_pipeline
+    import public_tokenizers
+    from compare import duck
+    from test_native import brute
+    from tokenizers import Tokenizer
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "mixing", "bpe"]
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    rows = corpus_pipeline.run(spark, DATA).collect()
-    assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in docs.select("doc_id").collect()}
+    sf_dir, columns = str(tmp_path / "sf"), ["doc_id", "text", "lang", "source", "n_chars"]
+    if Path(DATA).exists():
+        docs = spark.read.parquet(f"{DATA}/documents.parquet").select(*columns)
+    else:
+        docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    words = "the of and to that a b c d e f g h".split()
+    rng = np.random.default_rng(5)
+    own = [" ".join(rng.choice(words, 60)) + f"\nthe common line that stands in many texts, and is of use\nnumber {n}" for n in range(30)]
+    own += [own[0] + " end", own[1], None, "", "the " + "and to that long word " * 20_000]
+    more = spark.createDataFrame([(10**6 + n, t, "en", "own", 1) for n, t in enumerate(own)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.unionByName(more).repartition(5).write.parquet(f"{sf_dir}/documents.parquet")
+
+    before = docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = str(tmp_path / name)
+        stage(spark, before, sf_dir).write.parquet(out)
+        after = spark.read.parquet(out)
+        if name != "bpe":
+            assert sorted(after.columns) == sorted(docs.columns)
+        rows, kept = in_order(before, "doc_id", "text"), [(r.doc_id, r.text) for r in after.collect()] if name != "bpe" else []
+        if name == "quality_rules":
+            measures = {k: brute(t) for k, t in rows}
+            assert all(measures[k][0] >= 20 and 100 * measures[k][4] <= 30 * measures[k][0] for k, _ in kept)
+            assert kept and set(kept) < set(rows)
+        elif name == "line_dedup":
+            key = lambda r: (r[0], r[1] or "")
+            assert sorted(kept, key=key) == sorted([(k, t) for k, _, t in lines_left(rows)], key=key)
+        elif name == "near_dedup":
+            assert set(kept) <= set(rows) and len(set(kept)) == len(kept)
+            class_of = {k: c for k, c, _ in document_classes(rows)}
+            assert sorted(class_of[k] for k, _ in kept) == sorted(set(class_of.values()))
+        elif name == "mixing":
+            con = duck(sf_dir)
+            con.execute(f"CREATE VIEW before AS SELECT * FROM '{tmp_path}/near_dedup/*.parquet'")
+            assert Counter(kept) == Counter(con.execute(mixing.mixing_sql("before", "doc_id, text")).fetchall())
+        else:
+            library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+            texts = dict(rows)
+            assert Counter(r.doc_id for r in after.collect()) == Counter(k for k, _ in rows)
+            for row in after.collect():
+                ids = library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
+                assert (row.n_tokens, row.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        before = after
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.fixture
+def shaken(spark, monkeypatch):
+    """Files are split in another way after every table that an operator stores, as if cores came and went."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism")
+    saved, turn = {k: spark.conf.get(k, None) for k in keys}, [0]
+
+    def shake():
+        turn[0] += 1
+        for key, value in zip(keys, (("1k", "1", "16"), ("128m", "4m", "1"), ("20k", "1k", "5"))[turn[0] % 3]):
+            spark.conf.set(key, value)
+
+    for module in (bag_minhash, graph, line_dedup, passages, places):
+        cut = module.cut_lineage
+        monkeypatch.setattr(module, "cut_lineage", lambda df, name="stage", cut=cut: (cut(df, name), shake())[0])
+    yield shake
+    for key, value in saved.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_rows_keep_their_names_when_files_are_split_anew(spark, shaken, tmp_path):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(60)]
+    rows = [(n, texts[n % 60] + f"\na line that is the same in some of the texts, number {n % 60}") for n in range(240)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8, "doc_id").write.parquet(path)
+    docs = spark.read.parquet(path)
+    plain = in_order(docs, "doc_id", "text")
+    found = line_dedup.line_dedup(docs)
+    shaken()
+    assert sorted((r.doc_id, r.n_removed_lines, r.text) for r in found.collect()) == sorted(lines_left(plain))
+    found = bag_minhash.near_duplicates(docs)
+    shaken()
+    assert sorted(tuple(r) for r in found.collect()) == [(n, n % 60, 4) for n in range(240)]
+    found = bag_minhash.representatives(docs)
+    shaken()
+    assert sorted(r.doc_id % 60 for r in found.collect()) == list(range(60))
+    found = passages.repeated_passages(docs)
+    shaken()
+    met = {(r.doc_id, r.other_doc_id) for r in found.collect()}
+    assert len(met) == 180 and all(a % 60 == b % 60 and a != b for a, b in met)
 
 
 @pytest.mark.parametrize("block", [2_000, 7])

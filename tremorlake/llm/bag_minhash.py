@@ -18,8 +18,9 @@ bags, and joined to classes by union-find.
 Cases: shorter texts are one run of all their words; texts without any word are copies
 of each other; a null text is an empty one; equal texts are told by a digest before
 anything is compared; rows that repeat an id are rows of their own; a null id stays
-null, and comes last in the choice of a class's id; extra columns stay behind in
-``near_duplicates`` and are kept by ``representatives``; an empty table stays empty.
+null, and comes last in the choice of a class's id; texts of any length are signed and
+compared whole; extra columns stay behind in ``near_duplicates`` and are kept by
+``representatives``, whatever their names but for ``__file`` and ``__row``; an empty table stays empty.
 Texts are known by a 64-bit digest of their words.
 """
 
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.llm.graph import join_narrow, linked, shared_keys
+from tremorlake.llm.places import FILE, PLACE, ROW, with_place
 from tremorlake.llm.words import mixed, run_digests
 from tremorlake.session import cut_lineage
 
@@ -42,7 +44,7 @@ SIMILARITY = 0.8
 BLOCK = 1 << 22
 
 _GOLDEN = 0x9E3779B97F4A7C15
-_SIGNED = "doc bigint, node bigint, keys array<bigint>"
+_SIGNED = f"{FILE} bigint, {ROW} bigint, id bigint, node bigint, keys array<bigint>"
 
 
 def _levels(doc, element, weight):
@@ -129,16 +131,18 @@ def alike(one, other, similarity: float = SIMILARITY) -> bool:
     return both >= similarity * (n + m - both)
 
 
-def _numbered(docs: DataFrame, text: str) -> DataFrame:
+def _named(docs: DataFrame, key: str | None, text: str) -> DataFrame:
+    """``__file, __row, id, node, text``: where a row is stored, its id, the digest of its words, and its text."""
     words = F.regexp_replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    return docs.select(
-        F.monotonically_increasing_id().alias("doc"),
+    return with_place(docs).select(
+        *PLACE,
+        (F.col(f"`{key}`") if key else F.lit(None)).cast("bigint").alias("id"),
         F.xxhash64(F.trim(words)).alias("node"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
 
 
-def _signed(numbered: DataFrame) -> DataFrame:
+def _signed(named: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, first = batch.column("text").to_pylist(), 0
@@ -149,17 +153,18 @@ def _signed(numbered: DataFrame) -> DataFrame:
                     last += 1
                 keys, has = band_keys(texts[first:last])
                 rows = pa.array([k.tolist() if h else [] for k, h in zip(keys, has)], pa.list_(pa.int64()))
-                head = [batch.column(n).slice(first, last - first) for n in ("doc", "node")]
-                yield pa.RecordBatch.from_arrays([*head, rows], ["doc", "node", "keys"])
+                names = [n.split()[0] for n in _SIGNED.split(", ")]
+                head = [batch.column(n).slice(first, last - first) for n in names[:-1]]
+                yield pa.RecordBatch.from_arrays([*head, rows], names)
                 first = last
 
-    return numbered.mapInArrow(sign, _SIGNED)
+    return named.mapInArrow(sign, _SIGNED)
 
 
-def _verifier(numbered: DataFrame):
+def _verifier(named: DataFrame):
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-        wanted = join_narrow(numbered.select("node", "text"), nodes, "node", "left_semi")
+        wanted = join_narrow(named.select("node", "text"), nodes, "node", "left_semi")
         texts = cut_lineage(wanted.groupBy("node").agg(F.first("text").alias("text")), "node-texts")
         with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
         with_both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
@@ -180,26 +185,25 @@ def _verifier(numbered: DataFrame):
     return verify
 
 
-def classes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc, root``: every row of a stored table, by its place, and the class it belongs to."""
-    numbered = _numbered(docs, text)
-    signed = cut_lineage(_signed(numbered), "signed-texts")
+def classes(docs: DataFrame, key: str | None = "doc_id", text: str = "text") -> DataFrame:
+    """``__file, __row, id, root``: every row of a stored table, its id, and the class it belongs to."""
+    named = _named(docs, key, text)
+    signed = cut_lineage(_signed(named), "signed-texts")
     rows = signed.select(F.explode("keys").alias("key"), "node")
     _, roots = linked(
         shared_keys(rows),
-        _verifier(numbered),
-        numbered.select("node", F.col("text").alias("content")),
+        _verifier(named),
+        named.select("node", F.col("text").alias("content")),
         bag_elements,
         SIMILARITY,
     )
-    placed = join_narrow(signed.select("doc", "node"), roots, "node", "left")
-    return cut_lineage(placed.select("doc", F.coalesce("root", "node").alias("root")), "classes")
+    placed = join_narrow(signed.select(*PLACE, "id", "node"), roots, "node", "left")
+    return cut_lineage(placed.select(*PLACE, "id", F.coalesce("root", "node").alias("root")), "classes")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, class_id, class_size``: a row per document; the class has the smallest id of its members."""
-    ids = docs.select(F.monotonically_increasing_id().alias("doc"), F.col(f"`{key}`").cast("bigint").alias("doc_id"))
-    placed = cut_lineage(ids.join(classes(docs, text), "doc"), "placed")
+    placed = classes(docs, key, text).select(F.col("id").alias("doc_id"), "root")
     met = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     # Most classes have one member; only the others are joined.
     shared = cut_lineage(met.filter("class_size > 1"), "shared-classes")
@@ -213,15 +217,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def representatives(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One document of every class, with all its columns: the first in the stored order."""
-    placed = classes(docs, text)
-    met = placed.groupBy("root").agg(F.min("doc").alias("stays"), F.count(F.lit(1)).alias("size"))
+    """One document of every class, with all its columns: the first by file and place."""
+    placed, at = classes(docs, None, text), F.struct(*PLACE)
+    met = placed.groupBy("root").agg(F.min(at).alias("stays"), F.count(F.lit(1)).alias("size"))
     shared = cut_lineage(met.filter("size > 1").select("root", "stays"), "shared-classes")
-    gone = join_narrow(placed, shared, "root").filter("doc <> stays").select(F.col("doc").alias("__doc"))
-    numbered = docs.withColumn("__doc", F.monotonically_increasing_id())
-    return join_narrow(numbered, cut_lineage(gone, "gone"), "__doc", "left_anti").drop("__doc")
+    gone = join_narrow(placed, shared, "root").filter(at != F.col("stays")).select(*PLACE)
+    return join_narrow(with_place(docs), cut_lineage(gone, "gone"), [*PLACE], "left_anti").drop(*PLACE)
 
 
 def op4_near_dedup(spark, sf_dir):
+    """Every document's class of near copies: the class's smallest id and its size.
+
+    Null texts are empty ones and copies of each other; an empty table gives no row.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs)

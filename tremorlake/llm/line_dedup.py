@@ -11,8 +11,10 @@ are known by a 64-bit digest: among n different lines two meet with a chance of
 n * n / 2**65.
 Cases: blank lines are layout and stay; null texts stay null and empty ones empty; a
 text that loses all its lines is left empty, its row stays; rows that repeat are told
-apart by their place, so the first keeps its lines; equal first places can't occur;
-columns other than the text are untouched; an empty table stays empty.
+apart by their file and their place in it, so the first keeps its lines; equal first places
+can't occur; a text of any length is cut into lines whole, and a very long line is compared
+whole; columns other than the text are untouched, whatever their names, but for the count's
+own and names that begin with two underscores; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.llm.graph import join_narrow, linked, shared_keys
+from tremorlake.llm.places import FILE, PLACE, ROW, with_place
 from tremorlake.llm.worker import held
 from tremorlake.session import cut_lineage
 
@@ -33,7 +36,7 @@ SIMILARITY = 0.8
 # Characters signed at a time: their digests stay in the processor's cache.
 BLOCK = 1 << 18
 
-_SIGNED = "doc bigint, place int, line_id bigint, node bigint, keys array<bigint>"
+_SIGNED = f"{FILE} bigint, {ROW} bigint, place int, node bigint, keys array<bigint>"
 
 
 def _mixed(x):
@@ -60,7 +63,10 @@ def band_keys(lines: list[str], shingle: int = SHINGLE, bands: int = BANDS, rows
     padding = "\0" * gap
     codes = np.frombuffer((padding.join(lines) + padding * 2).encode("utf-32-le", "surrogatepass"), np.uint32)
     n, total = len(codes), int(lengths.sum()) + gap * len(lines)
-    digests, spare = (held(("line buffer", k, n.bit_length()), lambda: np.empty(1 << n.bit_length(), np.uint64)) for k in (0, 1))
+    if n <= 4 * BLOCK:
+        digests, spare = held("line buffers", lambda: [np.empty(4 * BLOCK, np.uint64) for _ in range(2)])
+    else:
+        digests, spare = np.empty(n, np.uint64), np.empty(n, np.uint64)
     digests[:n] = codes
     # Digests of runs of 1, 2, 4, ... characters up to a shingle.
     width = 1
@@ -132,11 +138,10 @@ def alike(one: set, other: set, similarity: float = SIMILARITY) -> bool:
 
 
 def exploded(docs: DataFrame, text: str) -> DataFrame:
-    """``doc, place, line_id, line, node``: every line that isn't blank, in stored order."""
-    rows = docs.select(F.monotonically_increasing_id().alias("doc"), F.col(f"`{text}`").alias("text"))
-    lines = rows.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    numbered = lines.withColumn("line_id", F.monotonically_increasing_id())
-    return numbered.filter(F.trim(F.translate("line", "\t\r\x0b\f", "    ")) != "").withColumn("node", F.xxhash64("line"))
+    """``__file, __row, place, line, node``: every line that isn't blank."""
+    rows = with_place(docs.select(F.col(f"`{text}`").alias("text")))
+    lines = rows.select(*PLACE, F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    return lines.filter(F.trim(F.translate("line", "\t\r\x0b\f", "    ")) != "").withColumn("node", F.xxhash64("line"))
 
 
 def _signed(lines: DataFrame) -> DataFrame:
@@ -153,7 +158,7 @@ def _signed(lines: DataFrame) -> DataFrame:
                 keys = band_keys(texts[first:last])
                 offsets = pa.array(range(0, (last - first + 1) * BANDS, BANDS), pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel(), pa.int64()))
-                head = [batch.column(n).slice(first, last - first) for n in ("doc", "place", "line_id", "node")]
+                head = [batch.column(n).slice(first, last - first) for n in names[:-1]]
                 yield pa.RecordBatch.from_arrays([*head, lists], names)
                 first = last
 
@@ -186,9 +191,9 @@ def _verifier(lines: DataFrame):
 
 
 def doomed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc, place``: the lines to take out; doc is the row's place in the stored table."""
+    """``__file, __row, place``: the lines to take out of a stored table."""
     lines = exploded(docs, text)
-    signed = cut_lineage(_signed(lines.select("doc", "place", "line_id", "node", "line")), "signed-lines")
+    signed = cut_lineage(_signed(lines.select(*PLACE, "place", "node", "line")), "signed-lines")
     # A line that stands more than once would repeat its bands; the keys are told apart per node later.
     rows = signed.select(F.explode("keys").alias("key"), "node")
     _, roots = linked(
@@ -198,23 +203,24 @@ def doomed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
         shingle_digests,
         SIMILARITY,
     )
-    met = signed.groupBy("node").agg(F.min("line_id").alias("first"), F.count(F.lit(1)).alias("times"))
+    at = F.struct(*PLACE, "place")
+    met = signed.groupBy("node").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("times"))
     # Only lines that stand more than once or are linked can lose; all others are left out here.
     placed = met.join(roots, "node", "left").filter("times > 1 or root is not null")
     placed = cut_lineage(placed.select("node", F.coalesce("root", "node").alias("root"), "first"), "met-lines")
     heads = placed.groupBy("root").agg(F.min("first").alias("stays"))
     decided = cut_lineage(placed.join(heads, "root").select("node", "stays"), "decided-lines")
-    return join_narrow(signed, decided, "node").filter("line_id <> stays").select("doc", "place")
+    return join_narrow(signed, decided, "node").filter(at != F.col("stays")).select(*PLACE, "place")
 
 
 def line_dedup(docs: DataFrame, text: str = "text", removed: str = "n_removed_lines") -> DataFrame:
     """The documents without the lines that were taken out, and how many those were.
 
-    ``docs`` must be a stored table, as it is read several times and its rows are known by place.
+    ``docs`` should be a stored table, as it is read several times and its rows are known by file and place;
+    a frame that comes from no file is stored first.
     """
-    gone = doomed_lines(docs, text).groupBy("doc").agg(F.collect_set("place").alias("__gone"))
-    numbered = docs.withColumn("__doc", F.monotonically_increasing_id())
-    both = numbered.join(gone.withColumnRenamed("doc", "__doc"), "__doc", "left").drop("__doc")
+    gone = doomed_lines(docs, text).groupBy(*PLACE).agg(F.collect_set("place").alias("__gone"))
+    both = with_place(docs).join(gone, [*PLACE], "left").drop(*PLACE)
     # The places that stay are found by hashing, so texts of very many lines stay linear.
     def spared(parts):
         stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
@@ -227,5 +233,9 @@ def line_dedup(docs: DataFrame, text: str = "text", removed: str = "n_removed_li
 
 
 def op2_line_dedup(spark, sf_dir):
+    """Every document without the lines that stand elsewhere first, and how many went.
+
+    Null texts stay null and a text that loses all lines is left empty; an empty table gives no row.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return line_dedup(docs)
