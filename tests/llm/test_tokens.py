@@ -1,6 +1,7 @@
 """Token files, encoding, archives and exact search against the libraries and brute force."""
 
 import base64
+import gzip
 import hashlib
 import random
 import zlib
@@ -10,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tremorlake.llm import bpe, token_files, topk, warc
+from tremorlake.llm import bpe, shards, token_files, topk, warc
 from tremorlake.llm.backtracking import WordVocabulary
 from tremorlake.session import new_path
 
@@ -72,7 +73,14 @@ def test_token_files(spark, table, library):
 def test_archives(spark, table):
     pages = ["a" * 2_500_000, "", None, "é", "a" * 2_500_000, "é", "z"]
     df = table([(i, f"http://x/\n{i}", h, "p") for i, h in enumerate(pages)] + [(None, None, "z", "p")], "page_id long, url string, html string, path string")
-    chunks = warc.read_chunks(warc.write_warc(df, new_path(spark, "w")))
+    places = warc.write_warc(df, new_path(spark, "w"))
+    for place in places.collect():
+        with gzip.open(place.path.removeprefix("file:"), "rb") as archive:
+            assert archive.read(8) == b"WARC/1.1"
+        with open(place.path.removeprefix("file:"), "rb") as archive:
+            archive.seek(place.offset)
+            assert archive.read(2) == b"\x1f\x8b"
+    chunks = warc.read_chunks(places)
     rows = {r.page_id: r for r in chunks.filter("last").collect()}
     assert len(rows) == 8 and rows[None].refers_to == 6
     for i, html in enumerate(pages):
@@ -87,6 +95,31 @@ def test_archives(spark, table):
     assert warc.write_warc(df.limit(0), new_path(spark, "w")).count() == 0
 
 
+def test_long_files_are_read_in_parts(spark, table, monkeypatch):
+    """The tasks that read back follow from the bytes; a file is cut where its records begin."""
+    monkeypatch.setattr(shards, "SEGMENT", 2000)
+    texts = [f"some words of text number {n} " * (n % 50) for n in range(300)]
+    df = table(list(enumerate(texts)), "doc_id long, text string")
+    index = token_files.write_token_files(df, new_path(spark, "t"))
+    read = token_files.read_token_files(index)
+    tasks = shards.segments(index, []).rdd.getNumPartitions()
+    assert tasks > 10 and read.rdd.getNumPartitions() == tasks
+    whole = {(r.shard, r.record): r for r in read.collect()}
+    places = {(r.shard, r.record): r for r in index.collect()}
+    assert whole.keys() == places.keys() and len(whole) == 300
+    assert all(whole[k].doc_id == p.doc_id and whole[k].shard_start == p.shard_start for k, p in places.items())
+    assert all(len(whole[k].ids) == 4 * p.n_tokens for k, p in places.items())
+    pages = table([(n, f"u{n}", t) for n, t in enumerate(texts)], "page_id long, url string, html string")
+    archives = warc.write_warc(pages, new_path(spark, "w"))
+    chunks = warc.read_chunks(archives)
+    assert chunks.rdd.getNumPartitions() > 5
+    assert sorted(r.page_id for r in chunks.filter("last").collect()) == list(range(300))
+
+
+def test_places():
+    assert shards.place("/a/b")[1] == shards.place("file:///a/b")[1] == "/a/b"
+
+
 def test_impact_index():
     rng = np.random.default_rng(0)
     for _ in range(150):

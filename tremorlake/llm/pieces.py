@@ -177,7 +177,7 @@ class PieceVocabulary:
         """Ids of texts, four bytes each."""
         find, prefix = self.chunks.findall, self.prefix
         split = [find(prefix + t.replace(SPACE, " ")) if t else [] for t in texts]
-        new = {c for chunks in split for c in chunks if c not in self.known}
+        new = set().union(*split).difference(self.known)
         if new:
             self._learn(sorted(new))
         get = self.known.__getitem__

@@ -18,15 +18,17 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremorlake.llm.backtracking import split_white
 from tremorlake.llm.bpe import word_vocabulary
-from tremorlake.llm.shards import new_file, open_at, open_stream
-from tremorlake.llm.worker import held
+from tremorlake.llm.shards import new_file, open_at, open_buffered, qualified, segments
+from tremorlake.llm.worker import Known, held
 from tremorlake.operators.ranking import running_before
 from tremorlake.session import cut_lineage, new_path
 
@@ -34,7 +36,7 @@ END_ID = 1
 # Characters encoded at a time, which bounds what one step holds.
 BLOCK = 2_000_000
 _MASK = 0xA282EAD8
-_CHUNKS = 350_000
+_KNOWN = 96 << 20
 _FAN_OUT = 4096
 
 
@@ -76,34 +78,22 @@ class LibraryEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        from tremorlake.llm.backtracking import Held
-
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.chunks = Held(_CHUNKS)
+        self.known = Known(_KNOWN)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        from tremorlake.llm.backtracking import split_white
-
-        kind = "<u4" if self.wide else "<u2"
+        kind = "I" if self.wide else "H"
         split = [split_white(t) for t in texts]
-        known = {}
-        unknown = []
-        for chunks in split:
-            for c in chunks:
-                if c not in known:
-                    ids = self.chunks.young.get(c)
-                    known[c] = self.chunks.get(c) if ids is None else ids
-                    if known[c] is None:
-                        unknown.append(c)
-        import numpy as np
-
-        for c, e in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)):
-            known[c] = np.array(e.ids, kind).tobytes()
-            self.chunks.put(c, known[c])
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        new = list(set().union(*split).difference(self.known))
+        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.known.put(chunk, array(kind, found.ids).tobytes())
+        get = self.known.__getitem__
+        out = [b"".join(map(get, chunks)) for chunks in split]
+        self.known.trim()
+        return out
 
 
 def _blocks(ids: list, texts: list[str]) -> Iterator[tuple[list, list[str]]]:
@@ -160,6 +150,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
                         [pa.array(c, t) for c, t in zip(columns, types)], [n.split()[0] for n in names]
                     )
 
+    folder = qualified(docs.sparkSession, folder)
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     digest, tie = F.xxhash64("text"), F.monotonically_increasing_id()
     # The tie lets rows that are equal in all else spread over ranges.
@@ -197,23 +188,25 @@ def _batches(rows: Iterator[tuple[int, int, int | None, bytes]], most: int = 1 <
 
 
 def read_token_files(index: DataFrame) -> DataFrame:
-    """Every record of the files that the index names, each file read once from front to back."""
+    """Every record of the files that the index names, each part of a file read once from front to back.
+
+    The index says where records begin, so a long file is cut there and read by several tasks.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                for shard, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    with open_stream(path) as stream:
-                        record = start = 0
-                        while (payload := record_at(stream)) is not None:
-                            key, ids = _decoded(payload)
+                columns = [batch.column(n).to_pylist() for n in ("path", "begin", "n", "shard", "record", "shard_start")]
+                for path, begin, n, shard, record, start in zip(*columns):
+                    with open_buffered(path, begin) as stream:
+                        for _ in range(n):
+                            key, ids = _decoded(record_at(stream))
                             yield shard, record, start, (key, ids)
                             record, start = record + 1, start + len(ids) // 4
 
         yield from _batches(rows())
 
-    files = index.filter(F.col("record") == 0).select("shard", "path")
-    return files.repartition(F.col("shard")).mapInArrow(read, RECORDS)
+    return segments(index, ["shard", "record", "shard_start"]).mapInArrow(read, RECORDS)
 
 
 def read_at(places: DataFrame) -> DataFrame:
@@ -245,6 +238,10 @@ def file_starts(index: DataFrame) -> DataFrame:
 
 
 def op9_token_files(spark, sf_dir):
+    """Every document's record, written to token files and read back: its place among all ids, its length, its checksum.
+
+    A null text gives the end id alone; null ids come first; an empty table gives no row.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     index = write_token_files(docs, new_path(spark, "token-files"))
     read = read_token_files(index).select(

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.shards import new_file, open_stream
+from tremorlake.llm.shards import new_file, open_at, qualified, segments
 from tremorlake.session import cut_lineage, new_path
 
 CHUNK = 1 << 20
@@ -142,16 +142,21 @@ def write_warc(pages: DataFrame, folder: str) -> DataFrame:
                 arrays = [pa.array(list(c), t) for c, t in zip(zip(*places), types)]
                 yield pa.RecordBatch.from_arrays(arrays, ["path", "page_id", "record_type", "offset"])
 
+    folder = qualified(pages.sparkSession, folder)
     ordered = classified(pages).select("page_id", "url", "payload", "payload_digest", "refers_to")
     return cut_lineage(ordered.mapInArrow(write, PLACES), "warc-places")
 
 
-def _records(path: str) -> Iterator[tuple]:
-    """Rows of CHUNKS of one archive."""
-    with open_stream(path) as raw, gzip.GzipFile(fileobj=raw, mode="rb") as stream:
-        while line := stream.readline():
+def _records(path: str, begin: int = 0, most: int | None = None) -> Iterator[tuple]:
+    """Rows of CHUNKS of the records of one archive, from an offset at which one begins, all of them or so many."""
+    with open_at(path) as raw:
+        raw.seek(begin)
+        stream = gzip.GzipFile(fileobj=raw, mode="rb")
+        met = 0
+        while met != most and (line := stream.readline()):
             if line == b"\r\n":
                 continue
+            met += 1
             if not line.startswith(b"WARC/"):
                 raise ValueError(f"{path}: a record doesn't start with its version")
             fields = {}
@@ -191,7 +196,7 @@ def _records(path: str) -> Iterator[tuple]:
 
 
 def read_chunks(places: DataFrame) -> DataFrame:
-    """Every record of the archives that the places name, as rows of chunks.
+    """Every record of the archives that the places name, as rows of chunks; long archives are read in parts.
 
     ``payload_digest`` and ``payload_bytes`` are what the record's headers say of the full
     payload; ``sha1_so_far`` and ``bytes_so_far`` are counted while reading. A revisit has
@@ -207,9 +212,9 @@ def read_chunks(places: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names)
 
         for part in batches:
-            for path in part.column(0).to_pylist():
+            for path, begin, most in zip(*(part.column(n).to_pylist() for n in range(3))):
                 rows, size = [], 0
-                for row in _records(path):
+                for row in _records(path, begin, most):
                     rows.append(row)
                     size += len(row[8]) + 512
                     if size >= 4 * CHUNK:
@@ -218,11 +223,14 @@ def read_chunks(places: DataFrame) -> DataFrame:
                 if rows:
                     yield batch(rows)
 
-    files = places.filter(F.col("offset") == 0).select("path")
-    return files.repartition(F.col("path")).mapInArrow(read, CHUNKS)
+    return segments(places, []).mapInArrow(read, CHUNKS)
 
 
 def op5_warc(spark, sf_dir):
+    """Every page's record, written to archives and read back: its type, its payload's bytes and digest, what it refers to.
+
+    A null payload is an empty one; an empty table gives no row.
+    """
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     chunks = read_chunks(write_warc(pages, new_path(spark, "warc")))
     response = F.col("record_type") == "response"
