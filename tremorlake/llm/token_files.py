@@ -16,6 +16,7 @@ the end id alone; an empty table gives no file; extra columns are left behind.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -36,7 +37,14 @@ END_ID = 1
 # Characters encoded at a time, which bounds what one step holds.
 BLOCK = 2_000_000
 _MASK = 0xA282EAD8
-_KNOWN = 96 << 20
+_KNOWN = 160 << 20
+# Marks that end a chunk and are words of their own after a letter of this range.
+_MARKS = ".,;:!?"
+# Without the one letter whose lower case is two characters.
+_LETTER = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]")
+_WORD = re.compile(_LETTER.pattern + "+")
+# Words of letters that are encoded in one call.
+_TOGETHER = 1000
 _FAN_OUT = 4096
 
 
@@ -65,6 +73,14 @@ def record_at(stream) -> bytes | None:
     return payload
 
 
+def _stem_and_marks(chunk: str) -> tuple[str, str]:
+    """Two parts that the vocabulary takes for words of their own; the second may be empty."""
+    stem = chunk.rstrip(_MARKS)
+    if not stem or not _LETTER.match(stem[-1]):
+        stem = chunk
+    return stem, chunk[len(stem) :]
+
+
 class LibraryEncoder:
     """The tokenizers library behind a bounded table of white-space chunks.
 
@@ -76,6 +92,7 @@ class LibraryEncoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -83,13 +100,38 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.known = Known(_KNOWN)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+
+    def _learn(self, words: list[str], kind: str) -> None:
+        """Encode words of letters in one call; each has one token with the mark of a word's end, its last."""
+        import numpy as np
+
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, kind)
+        ends = (np.nonzero(self.ends[ids])[0] + 1) * ids.itemsize
+        if len(ends) != len(words):
+            raise ValueError("the vocabulary doesn't end each word with a token of its own")
+        raw, cuts = ids.tobytes(), [0, *ends.tolist()]
+        self.known.put_all(words, [raw[i:j] for i, j in zip(cuts, cuts[1:])])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         kind = "I" if self.wide else "H"
         split = [split_white(t) for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known.put(chunk, array(kind, found.ids).tobytes())
+        new = set().union(*split).difference(self.known)
+        words = list(filter(_WORD.fullmatch, new))
+        # Any other chunk is a stem and the marks after it.
+        parts = {c: _stem_and_marks(c) for c in new.difference(words)}
+        more = {p for pair in parts.values() for p in pair}.difference(self.known, words)
+        stems = list(filter(_WORD.fullmatch, more))
+        rest = list(more.difference(stems))
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        self.known.put_all(rest, [array(kind, x.ids).tobytes() for x in found])
+        words += stems
+        for first in range(0, len(words), _TOGETHER):
+            self._learn(words[first : first + _TOGETHER], kind)
+        whole = [c for c, (_, marks) in parts.items() if marks]
+        self.known.put_all(whole, [self.known[stem] + self.known[marks] for stem, marks in map(parts.get, whole)])
         get = self.known.__getitem__
         out = [b"".join(map(get, chunks)) for chunks in split]
         self.known.trim()

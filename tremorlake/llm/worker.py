@@ -70,6 +70,10 @@ class Known(dict):
         self[text] = value
         self.bytes += self.EACH + 2 * len(text) + len(value)
 
+    def put_all(self, texts: list[str], values: list[bytes]) -> None:
+        self.update(zip(texts, values))
+        self.bytes += self.EACH * len(texts) + 2 * sum(map(len, texts)) + sum(map(len, values))
+
     def trim(self) -> None:
         if self.bytes > self.most:
             self.clear()
