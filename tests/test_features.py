@@ -83,7 +83,7 @@ def test_merge_join_gives_the_same_pairs_and_splits_a_hot_cell(spark, conf):
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20000",
     )
-    merged = aftershock_pairs(mains, events.repartition(8), broadcast_bytes=0)
+    merged = aftershock_pairs(mains, events.repartition(8))
     counted = merged.groupBy("mainshock_id").count()
     expected = {r[0]: r[1] for r in small.groupBy("mainshock_id").count().collect()}
     assert {r[0]: r[1] for r in counted.collect()} == expected

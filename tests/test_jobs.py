@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.__main__ import main
 from tremorlake.checks import inputs
-from tremorlake.operators import neighbors
+from tremorlake.operators import boosting, neighbors
 from tremorlake.operators.model import GbtParams, Variation
 from tremorlake.plans import jobs
 from tremorlake.schema import FEATURE_TABLE
@@ -82,7 +82,7 @@ def test_no_feed_is_an_error(spark, tmp_path):
 
 def test_task_code_needs_no_package(tmp_path):
     """Executors without this package can load what the neighbour join sends them."""
-    code = cloudpickle.dumps((neighbors.Boxes, neighbors._nearest, neighbors._long))
+    code = cloudpickle.dumps((neighbors._nearest, neighbors._long, boosting.Growth))
     load = "import pickle, sys; print(len(pickle.loads(sys.stdin.buffer.read())))"
     done = subprocess.run(
         [sys.executable, "-c", load], input=code, cwd=tmp_path, capture_output=True, env={"PATH": "/usr/bin:/bin"}, check=False

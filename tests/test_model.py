@@ -1,7 +1,8 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tremorlake.operators import model
+from tremorlake.operators import boosting, model
 from tremorlake.operators.metrics import three_metrics
 from tremorlake.plans import training
 from tremorlake.schema import FEATURES, TARGET
@@ -76,6 +77,118 @@ def test_model_learns_stores_and_scores(spark, parts, tmp_path):
     assert abs(sum(r.importance for r in importance) - 1.0) < 1e-9
 
 
+def plain_forest(values, labels, keys, params, seed):
+    """The same objective on lists: every cut between two values of every feature, in every node."""
+    n, features = values.shape
+    base = (labels.sum() - n / 2) / (n / 4)
+    edges = []
+    for column in values.T:
+        order = np.sort(column[~np.isnan(column)])
+        places = {}
+        for v in order:
+            place = int(np.sum(order < v)) * (boosting.MISSING - 1) // len(order)
+            places[place] = min(v, places.get(place, v))
+        edges.append([places[p] for p in sorted(places)][1:])
+    margin, trees = np.full(n, base), []
+    for t in range(params.n_estimators):
+        growth = boosting.Growth(params, base, features, seed, trees=[None] * t)
+        chance = 1 / (1 + np.exp(-margin))
+        drawn = growth.drawn(keys.view(np.uint64))
+        g, h = (np.rint(x * boosting.UNIT) * drawn / boosting.UNIT for x in (chance - labels, chance * (1 - chance)))
+        tree, moved = {}, np.zeros(n)
+
+        def grow(node, rows, depth, g=g, h=h, growth=growth, tree=tree, moved=moved):
+            G, H = g[rows].sum(), h[rows].sum()
+            best = None
+            for f in growth.columns() if depth < params.max_depth else ():
+                x = values[rows, f]
+                for cut in [*edges[f], np.inf]:
+                    for side in (False, True):
+                        left = np.where(np.isnan(x), side, x < cut)
+                        a, b = g[rows[left]].sum(), h[rows[left]].sum()
+                        if min(b, H - b) < max(params.min_child_weight, 1 / boosting.UNIT):
+                            continue
+                        gain = a * a / (b + 1) + (G - a) ** 2 / (H - b + 1) - G * G / (H + 1)
+                        if gain > 1e-6 and gain >= params.gamma and (best is None or gain > best[0] + 1e-12):
+                            best = gain, f, cut, side, left
+            if best is None:
+                tree[node] = (None, None)
+                moved[rows] = -G / (H + 1) * params.learning_rate
+            else:
+                tree[node] = best[1], best[2]
+                grow(2 * node + 1, rows[best[4]], depth + 1)
+                grow(2 * node + 2, rows[~best[4]], depth + 1)
+
+        every = np.arange(n)
+        grow(0, every, 0)
+        # Rows that were not drawn move as well; they have no gradients, so they change no sum.
+        margin = margin + moved
+        trees.append(tree)
+    return trees, margin
+
+
+@pytest.mark.parametrize(
+    "params",
+    [
+        model.GbtParams(6, 3, 0.3, 1.0, 1.0, 1, 0.0),
+        model.GbtParams(5, 4, 0.1, 0.7, 0.6, 3, 0.5),
+        model.GbtParams(3, 2, 0.5, 1.0, 1.0, 40, 2.0),
+    ],
+)
+def test_trees_equal_plain_ones(spark, params):
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(500, 4)), 1)
+    x[rng.random(500) < 0.2, 2] = np.nan
+    y = ((x[:, 0] + np.nan_to_num(x[:, 2], nan=1.0) + rng.normal(size=500) * 0.5) > 0.4).astype(int)
+    rows = [(*(None if np.isnan(v) else float(v) for v in r), int(t)) for r, t in zip(x, y)]
+    table = spark.createDataFrame(rows, "a double, b double, c double, d double, y int")
+    keyed = table.select("*", F.xxhash64(*table.columns).alias("key")).collect()
+    fitted = model.train_gbt(table, params, list("abcd"), "y", seed=3)
+    values = np.array([[np.nan if v is None else v for v in r[:4]] for r in keyed], float)
+    trees, margin = plain_forest(values, np.array([r.y for r in keyed]), np.array([r.key for r in keyed]), params, 3)
+    found = [{} for _ in trees]
+    for r in fitted.nodes.to_pylist():
+        found[r["tree"]][r["node"]] = (None, None) if r["feature"] is None else ("abcd".index(r["feature"]), r["threshold"])
+    assert found == trees
+    got = table.select(fitted.margin(*map(F.col, "abcd")).alias("m")).collect()
+    assert np.allclose([r.m for r in got], margin, atol=1e-9)
+
+
+def test_levels_as_jobs_give_the_same_trees(spark, parts, monkeypatch):
+    """Rows that stay in their tasks, in many parts, with margins written in between, and both configurations together."""
+    monkeypatch.setattr(boosting, "WRITTEN_EVERY", 2)
+    train = parts[0].repartition(7)
+    two = [SMALL, model.GbtParams(n_estimators=4, max_depth=3, subsample=0.7, colsample=0.5, min_child_weight=2, gamma=0.1)]
+    whole = model.train_models(train, two)
+    apart = model.train_models(train, two, task_rows=10)
+    assert all(a.nodes.equals(b.nodes) and a.base == b.base for a, b in zip(whole, apart))
+    assert whole[1].nodes.equals(model.train_gbt(train, two[1]).nodes)
+
+
+def test_sql_of_a_model(spark, parts):
+    import duckdb
+
+    train, test = parts
+    fitted = model.train_gbt(train, SMALL)
+    rows = test.select(*[F.when(F.rand(1) < 0.9, F.col(f)).alias(f) for f in FEATURES]).toPandas()
+    table = spark.createDataFrame(rows)
+    want = [r.m for r in table.select(fitted.margin(*[F.col(f).cast("double") for f in FEATURES]).alias("m")).collect()]
+    assert np.allclose([r.m for r in table.select(F.expr(fitted.sql()).alias("m")).collect()], want)
+    clean = rows.astype(object).where(rows.notna(), None)
+    con = duckdb.connect()
+    con.register("rows_", clean.astype(float))
+    found = con.execute(f"SELECT {fitted.sql()} AS m FROM (SELECT {', '.join(f'CASE WHEN isnan({f}) THEN NULL ELSE {f} END AS {f}' for f in FEATURES)} FROM rows_)").fetchall()
+    assert np.allclose([m for (m,) in found], want)
+
+
+def test_degenerate_tables(spark):
+    one_class = spark.createDataFrame([(1.0, 1), (2.0, 1), (None, 1), (3.0, None)], "a double, y int")
+    fitted = model.train_gbt(one_class, SMALL, ["a"], "y")
+    assert fitted.nodes.column("node").to_pylist() == [0] * 5
+    with pytest.raises(ValueError, match="no rows"):
+        model.train_gbt(one_class.limit(0), SMALL, ["a"], "y")
+
+
 def test_variations_share_models(parts):
     variations = [
         model.Variation("one", SMALL, 0.45), model.Variation("two", SMALL, 0.40),
@@ -85,4 +198,7 @@ def test_variations_share_models(parts):
     assert len(models) == 1 and set(rows) == {"one", "two"}
     assert rows["one"].pr_auc == rows["two"].pr_auc
     assert rows["two"].recall >= rows["one"].recall
-    assert rows["two"].params["threshold"] == "0.4"
+    assert rows["two"].params["threshold"] == "0.4" and rows["two"].params["resampling"] == "SMOTETomek"
+    plain, _ = training.run_variations(*parts, variations[:1], balance=False)
+    (row,) = plain.collect()
+    assert row.params["resampling"] == "none" and row.run_id not in {r.run_id for r in rows.values()}

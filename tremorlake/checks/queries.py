@@ -657,25 +657,18 @@ def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return training.prepare_train_test(_stored_features(spark, sf_dir))
 
 
-_FITTED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
-
-
-def _stored_model(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Path of a fitted model and its test rows, fitted once per session and data."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        train, test = _split(spark, sf_dir)
-        path = new_path(spark, "model")
-        fitted = model.train_gbt(training.resampled_train(train), model.LIGHT)
-        model.save_model(fitted, path, model.DECISION_THRESHOLD, spark)
-        _FITTED[key] = (path, test)
-    return _FITTED[key]
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[model.BoostedTrees, float, DataFrame]:
+    """A model fitted on this data, stored and read back with its threshold, and the test rows."""
+    train, test = _split(spark, sf_dir)
+    path = new_path(spark, "model")
+    fitted = model.train_gbt(training.resampled_train(train), model.LIGHT)
+    model.save_model(fitted, path, model.DECISION_THRESHOLD, spark)
+    return (*model.load_model(path, spark), test)
 
 
 @query
 def train_gbt(spark, sf_dir):
-    path, test = _stored_model(spark, sf_dir)
-    fitted, threshold = model.load_model(path, spark)
+    fitted, threshold, test = _fitted(spark, sf_dir)
     return metrics.three_metrics(model.batch_score(fitted, test, threshold), threshold)
 
 
@@ -687,14 +680,12 @@ def train_variations(spark, sf_dir):
 
 @query
 def batch_score(spark, sf_dir):
-    path, test = _stored_model(spark, sf_dir)
-    fitted, threshold = model.load_model(path, spark)
+    fitted, threshold, test = _fitted(spark, sf_dir)
     scored = model.batch_score(fitted, test, threshold)
     return scored.select("mainshock_id", "snapshot_hours", "y", _r("proba"), "prediction")
 
 
 @query
 def feature_importance(spark, sf_dir):
-    path, _ = _stored_model(spark, sf_dir)
-    fitted, _ = model.load_model(path, spark)
+    fitted, _, _ = _fitted(spark, sf_dir)
     return model.feature_importance(fitted, spark)

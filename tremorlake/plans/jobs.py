@@ -12,7 +12,7 @@ from tremorlake.operators.model import VARIATIONS, Variation, save_model
 from tremorlake.plans.catalogue import clean_events, ingest
 from tremorlake.plans.features import build_feature_table
 from tremorlake.plans.training import prepare_train_test, run_variations
-from tremorlake.schema import CLEAN, RUNS
+from tremorlake.schema import CLEAN, RUNS, TEST_SIZE
 from tremorlake.session import cut_lineage, ready
 from tremorlake.sources import feeds, sinks, snapshots, tables
 
@@ -72,15 +72,26 @@ def features_job(spark: SparkSession, processed: str, output: str, csv: str | No
 
 
 def train_job(
-    spark: SparkSession, features: str, runs: str, models: str, variations: tuple[Variation, ...] = VARIATIONS
+    spark: SparkSession,
+    features: str,
+    runs: str,
+    models: str,
+    variations: tuple[Variation, ...] = VARIATIONS,
+    balance: bool = True,
+    test_size: float = TEST_SIZE,
 ) -> DataFrame:
-    """Train the configurations, append their runs, store one model per run; returns the runs."""
-    train, test = prepare_train_test(tables.scan_features(spark, features))
-    table, fitted = run_variations(train, test, variations)
+    """Train the configurations, store one model per run, then append the runs; returns the runs.
+
+    A model lies under its run's id, which no other run has. A run is logged when its model is there, so
+    a job that stops in between leaves no run without a model.
+    """
+    train, test = prepare_train_test(tables.scan_features(spark, features), test_size)
+    table, fitted = run_variations(train, test, variations, balance)
     logged = cut_lineage(table, "runs")
-    logged.write.mode("append").parquet(runs)
+    ids = {r["run_name"]: r["run_id"] for r in logged.select("run_name", "run_id").collect()}
     for variation in variations:
-        save_model(fitted[variation.params], f"{models}/{variation.run_name}", variation.threshold, spark)
+        save_model(fitted[variation.params], f"{models}/{ids[variation.run_name]}", variation.threshold, spark)
+    logged.write.mode("append").parquet(runs)
     return logged
 
 

@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict
 from functools import reduce
-from multiprocessing.pool import ThreadPool
+from uuid import uuid4
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.operators.metrics import three_metrics
-from tremorlake.operators.model import VARIATIONS, GbtParams, Variation, batch_score, train_gbt
+from tremorlake.operators.model import VARIATIONS, BoostedTrees, GbtParams, Variation, batch_score, train_models
 from tremorlake.operators.resample import keyed, resample
 from tremorlake.operators.split import stratified_split, time_split
 from tremorlake.schema import FEATURES, TARGET, TEST_SIZE
@@ -43,31 +41,30 @@ def resampled_train(train: DataFrame) -> DataFrame:
 
 
 def run_variations(
-    train: DataFrame, test: DataFrame, variations: Sequence[Variation] = VARIATIONS
-) -> tuple[DataFrame, dict[GbtParams, PipelineModel]]:
+    train: DataFrame,
+    test: DataFrame,
+    variations: Sequence[Variation] = VARIATIONS,
+    balance: bool = True,
+    batch: str | None = None,
+) -> tuple[DataFrame, dict[GbtParams, BoostedTrees]]:
     """The run table, and the models by configuration.
 
-    The training rows are resampled once, and configurations that differ only in
-    their threshold share one model and one scored table.
+    The training rows are resampled once (not at all unless ``balance``), all configurations are grown together,
+    and those that differ only in their threshold share one model and one scored table. Run ids are ``batch``, a
+    new one by default, and the variation's number.
     """
-    balanced = resampled_train(train)
+    balanced = resampled_train(train) if balance else train
     distinct = list(dict.fromkeys(v.params for v in variations))
-
-    def fit(params: GbtParams) -> tuple[PipelineModel, DataFrame]:
-        fitted = train_gbt(balanced, params)
-        return fitted, cut_lineage(batch_score(fitted, test).select("y", "proba"), "scored")
-
-    # One thread per configuration: Spark interleaves their jobs.
-    with ThreadPool(len(distinct)) as pool:
-        fits = dict(zip(distinct, pool.map(inheritable_thread_target(train.sparkSession)(fit), distinct)))
-    runs = []
+    models = dict(zip(distinct, train_models(balanced, distinct)))
+    scored = {p: cut_lineage(batch_score(m, test).select("y", "proba"), "scored") for p, m in models.items()}
+    batch, runs = batch or uuid4().hex[:12], []
     for order, variation in enumerate(variations):
-        logged = {**asdict(variation.params), "threshold": variation.threshold, "resampling": "SMOTETomek"}
+        resampling = "SMOTETomek" if balance else "none"
+        logged = {**asdict(variation.params), "threshold": variation.threshold, "resampling": resampling}
         pairs = [F.lit(str(part)) for item in logged.items() for part in item]
-        _, scored = fits[variation.params]
         runs.append(
-            three_metrics(scored, variation.threshold).select(
-                F.lit(f"{order + 1:04d}").alias("run_id"),
+            three_metrics(scored[variation.params], variation.threshold).select(
+                F.lit(f"{batch}-{order + 1:04d}").alias("run_id"),
                 F.lit(variation.run_name).alias("run_name"),
                 F.lit("FINISHED").alias("status"),
                 "pr_auc",
@@ -76,4 +73,4 @@ def run_variations(
                 F.create_map(*pairs).alias("params"),
             )
         )
-    return reduce(DataFrame.unionByName, runs), {params: fitted for params, (fitted, _) in fits.items()}
+    return reduce(DataFrame.unionByName, runs), models
