@@ -50,7 +50,7 @@ def brute_neighbors(points, k):
     return np.argsort(squared, axis=1, kind="stable")[:, :k]
 
 
-@pytest.mark.parametrize("box_points, requests", [(2000, 4000), (60, 50)])
+@pytest.mark.parametrize("box_points, requests", [(4096, 4096), (60, 50)])
 def test_neighbors_equal_brute_force(spark, monkeypatch, box_points, requests):
     monkeypatch.setattr(neighbors, "BOX_REQUESTS", requests)
     points = cloud(1, 700)
@@ -60,6 +60,34 @@ def test_neighbors_equal_brute_force(spark, monkeypatch, box_points, requests):
     assert got == {(i, j + 1): expected[i, j] for i in range(len(points)) for j in range(5)}
 
 
+def mostly_zero(seed, n, dims=30):
+    """Distinct vectors of which most have one or two places that aren't zero."""
+    rng, points = np.random.default_rng(seed), set()
+    while len(points) < n:
+        v = np.zeros(dims)
+        v[rng.integers(0, dims, rng.integers(1, 3))] = np.round(rng.random() * 5, 2)
+        points.add(tuple(v))
+    return np.array(sorted(points))
+
+
+@pytest.mark.parametrize("points", [cloud(5, 900), mostly_zero(6, 700), np.vstack([cloud(7, 300) * 1e-3, cloud(8, 30) * 1e4])])
+def test_boxes_hold_no_more_than_their_limit(spark, points):
+    """Clouds, equal values almost everywhere, and a dense spot among far points; the limit changes no neighbour."""
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "id long, v array<double>")
+    placed, bounds, rounds = neighbors.boxed(df.repartition(3), points.shape[1], 25)
+    sizes = placed.groupBy("box").count().collect()
+    assert rounds >= 1 and max(r["count"] for r in sizes) <= 25 and sum(r["count"] for r in sizes) == len(points)
+    assert bounds.count() == len(sizes)
+    whole, parts = (sorted(tuple(r) for r in nearest_neighbors(df, 3, limit).collect()) for limit in (10**6, 25))
+    assert whole == parts
+    expected = brute_neighbors(points, 3)
+    assert [(i, expected[i, j]) for i in range(len(points)) for j in range(3)] == [(r[0], r[1]) for r in sorted(whole, key=lambda r: (r[0], r[3]))]
+
+
+def test_no_points(spark):
+    assert nearest_neighbors(spark.createDataFrame([], "id long, v array<double>"), 2).count() == 0
+
+
 def test_fewer_points_than_neighbors(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id long, v array<double>")
     assert sorted((r.id, r.neighbor) for r in nearest_neighbors(df, 5).collect()) == [(1, 2), (2, 1)]
