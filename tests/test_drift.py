@@ -91,3 +91,14 @@ def test_index_of_any_column_and_both_verdicts(spark):
     assert rows["magnitude"].ks_drifted == rows["magnitude"].drifted and rows["magnitude"].distance_drifted
     with pytest.raises(ValueError):
         drift.drift_report(df, "guess")
+
+
+def test_a_side_without_rows_has_a_status(spark):
+    df = events(spark, [], [4.0, 5.0] * 20)
+    rows = drift.drift_report(df).collect()
+    assert {r.feature for r in rows} == {"magnitude", "depth_km", "latitude", "longitude"}
+    assert {(r.status, r.n_reference, r.ks, r.psi, r.drifted, r.dataset_drift) for r in rows} == {("insufficient_data", 0, None, None, None, None)}
+    assert {r.n_current for r in rows} == {40}
+    early = F.col("time_utc") < F.lit("1999-01-01").cast("timestamp")
+    for one, other in ((early, ~early), (~early, early)):
+        assert [tuple(r) for r in drift.psi(df, "magnitude", one, other).collect()] == [("magnitude", None, None)]

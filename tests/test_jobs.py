@@ -30,10 +30,12 @@ def folder(spark, tmp_path_factory):
 
 
 def test_whole_path(spark, folder, capsys):
-    at = {n: str(folder / n) for n in ("raw", "processed", "features", "runs", "models", "history")}
+    at = {n: str(folder / n) for n in ("raw", "none", "processed", "features", "runs", "models", "history")}
     feeds = ["--geojson", str(folder / "geojson"), "--latest-bulletin", str(folder / "bulletin")]
     assert main(["ingest", "--raw", at["raw"], *feeds, "--dry-run"]) == 0
     assert not Path(at["raw"]).exists()
+    main(["ingest", "--raw", at["none"], "--geojson", str(folder / "geojson"), "--hours", "1"])
+    assert not Path(at["none"]).exists()  # all landed events are older
     main(["ingest", "--raw", at["raw"], *feeds, "--run", "20240201_000000"])
     main(["ingest", "--raw", at["raw"], "--geojson", str(folder / "geojson"), "--run", "20240202_000000"])
     assert spark.read.parquet(at["raw"] + "/manifest").count() == 2
@@ -44,6 +46,8 @@ def test_whole_path(spark, folder, capsys):
     main(["preprocess", "--raw", at["raw"], "--processed", at["processed"]])
     again = spark.read.parquet(at["processed"]).groupBy("snapshot").count().collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, every))
+    main(["preprocess", "--raw", at["raw"], "--processed", at["processed"], "--input", "gempa_20240201_000000.csv"])
+    assert spark.read.parquet(at["processed"]).groupBy("snapshot").count().count() == 2
     events = jobs.read_processed(spark, at["processed"])
     assert events.count() == events.select("event_id").distinct().count()
     assert events.filter("event_id like 'us%'").count() == 10000 - len(range(0, 10000, 43))
@@ -56,6 +60,16 @@ def test_whole_path(spark, folder, capsys):
     assert jobs.train_job(spark, at["features"], at["runs"], at["models"], one).count() == 1
     assert main(["evaluate", "--runs", at["runs"]]) in (0, 1)
     assert main(["evaluate", "--runs", at["runs"], "--rule", "two-of-three"]) in (0, 1)
+    nothing = ["--min-pr-auc", "0", "--min-f1-score", "0", "--min-recall", "0"]
+    assert main(["evaluate", "--runs", at["runs"], *nothing]) == 0
+    assert main(["evaluate", "--runs", at["runs"], *nothing[:-1], "1.1"]) == 1
+    by_hand = ["--run-name", "mine", "--trees", "3", "--depth", "2", "--rate", "0.3", "--threshold", "0.3"]
+    for _ in range(2):
+        main(["train", "--features", at["features"], "--runs", at["runs"], "--models", at["models"], *by_hand, "--no-resampling", "--test-size", "0.5"])
+    runs = jobs.read_runs(spark, at["runs"]).collect()
+    assert len(runs) == len({r.run_id for r in runs}) == 3
+    assert {r.run_id for r in runs} == {p.name for p in Path(at["models"]).iterdir()}
+    assert {(r.params["n_estimators"], r.params["resampling"]) for r in runs if r.run_name == "mine"} == {("3", "none")}
     for version in (1, 2):
         main(["promote", "--history", at["history"], "--run-id", "0001", "--model-name", "m", "--version", str(version)])
     assert spark.read.parquet(at["history"]).count() == 2

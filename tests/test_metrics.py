@@ -69,3 +69,10 @@ def test_tradeoff_and_weight(golden):
     rows = metrics.threshold_tradeoff(golden, [0.95, 0.05]).collect()
     assert [(r.threshold, r.recall) for r in rows] == [(0.05, 1.0), (0.95, 0.0)]
     assert round(metrics.class_weight(golden).first()["scale_pos_weight"], 4) == round(431 / 80, 4)
+
+
+def test_rows_without_a_score_are_an_error(spark):
+    for bad in ((1, None), (None, 0.5)):
+        scored = spark.createDataFrame([(1, 0.9), (0, 0.2), bad], "y int, proba double")
+        with pytest.raises(Exception, match="1 rows have no label or no score"):
+            metrics.confusion_matrix(scored).collect()

@@ -9,9 +9,13 @@ from datetime import UTC, datetime
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tremorlake.operators.model import VARIATIONS, GbtParams, Variation
 from tremorlake.plans import jobs
+from tremorlake.schema import DECISION_THRESHOLD, TEST_SIZE
 from tremorlake.sources.feeds import BULLETIN_SOURCES
 
+METRICS = ("pr_auc", "f1_score", "recall")
+
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tremorlake")
@@ -25,11 +29,13 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--run", default=datetime.now(UTC).strftime("%Y%m%d_%H%M%S"))
     ingest.add_argument("--multi-line", action="store_true")
     ingest.add_argument("--dry-run", action="store_true")
+    ingest.add_argument("--hours", type=int, help="how far back the main feed is asked for; all that has landed by default")
 
     preprocess = commands.add_parser("preprocess", help="raw snapshots to the clean table")
     preprocess.add_argument("--raw", required=True)
     preprocess.add_argument("--processed", required=True)
     preprocess.add_argument("--all", action="store_true")
+    preprocess.add_argument("--input", help="name of the one snapshot to clean; the newest by default")
 
     features = commands.add_parser("features", help="clean table to feature table")
     features.add_argument("--processed", required=True)
@@ -40,10 +46,19 @@ def _parser() -> argparse.ArgumentParser:
     train.add_argument("--features", required=True)
     train.add_argument("--runs", required=True)
     train.add_argument("--models", required=True)
+    train.add_argument("--run-name", help="train one configuration of this name instead of all that are known")
+    train.add_argument("--trees", type=int, default=GbtParams.n_estimators)
+    train.add_argument("--depth", type=int, default=GbtParams.max_depth)
+    train.add_argument("--rate", type=float, default=GbtParams.learning_rate)
+    train.add_argument("--threshold", type=float, default=DECISION_THRESHOLD)
+    train.add_argument("--test-size", type=float, default=TEST_SIZE)
+    train.add_argument("--no-resampling", action="store_true")
 
     evaluate = commands.add_parser("evaluate", help="exit 0 if the best run passes, else 1")
     evaluate.add_argument("--runs", required=True)
     evaluate.add_argument("--rule", choices=("all", "two-of-three"), default="all")
+    for metric in METRICS:
+        evaluate.add_argument(f"--min-{metric.replace('_', '-')}", type=float, help="instead of the rule's own bound")
 
     promote = commands.add_parser("promote", help="record a promotion")
     promote.add_argument("--history", required=True)
@@ -66,18 +81,26 @@ def main(arguments: list[str] | None = None) -> int:
         paths = dict(zip(BULLETIN_SOURCES, (args.latest_bulletin, args.felt_bulletin)))
         shown = jobs.ingest_job(
             spark, args.raw, args.run, args.geojson,
-            {source: path for source, path in paths.items() if path}, args.dry_run, args.multi_line,
+            {source: path for source, path in paths.items() if path}, args.dry_run, args.multi_line, args.hours,
         )
         if shown is not None:
             shown.show(truncate=False)
     elif args.command == "preprocess":
-        jobs.preprocess_job(spark, args.raw, args.processed, args.all)
+        jobs.preprocess_job(spark, args.raw, args.processed, args.all, args.input)
     elif args.command == "features":
         jobs.features_job(spark, args.processed, args.output, args.csv)
     elif args.command == "train":
-        jobs.train_job(spark, args.features, args.runs, args.models).drop("params").show(truncate=False)
+        variations = VARIATIONS
+        if args.run_name:
+            params = GbtParams(n_estimators=args.trees, max_depth=args.depth, learning_rate=args.rate)
+            variations = (Variation(args.run_name, params, args.threshold),)
+        runs = jobs.train_job(
+            spark, args.features, args.runs, args.models, variations, not args.no_resampling, args.test_size
+        )
+        runs.drop("params").show(truncate=False)
     elif args.command == "evaluate":
-        verdict = jobs.evaluate_job(spark, args.runs, args.rule)
+        minimum = {m: v for m in METRICS if (v := getattr(args, f"min_{m}")) is not None}
+        verdict = jobs.evaluate_job(spark, args.runs, args.rule, minimum)
         row = verdict.drop("params").first()
         print(row.asDict() if row else "no run found")
         return 0 if row and row["passed"] else 1

@@ -512,7 +512,7 @@ def drift_quick_check(spark, sf_dir):
 
 @query
 def drift_report(spark, sf_dir):
-    report = drift.drift_report(inputs.seismic_events(spark, sf_dir))
+    report = drift.drift_report(inputs.seismic_events(spark, sf_dir)).drop("status")
     return report.withColumns({c: F.round(c, 6) for c in ("ks", "wasserstein_normed", "psi", "drift_share")})
 
 

@@ -105,9 +105,9 @@ def filter_valid_ranges(df: DataFrame) -> DataFrame:
 
 
 def feed_window(df: DataFrame, start: Column, end: Column) -> DataFrame:
-    """The feed's request as predicates on the stored table: time, area, size."""
+    """The feed's request as predicates on the stored table: time, area, size. Sort where it is shown."""
     wanted = F.col("time_utc").between(start, end) & (F.col("magnitude") >= FEED_MIN_MAGNITUDE)
-    return filter_bbox(df.filter(wanted)).orderBy("time_utc", "event_id")
+    return filter_bbox(df.filter(wanted))
 
 
 def add_derived(df: DataFrame) -> DataFrame:

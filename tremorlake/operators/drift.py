@@ -88,9 +88,19 @@ def psi_band(psi: Column) -> Column:
     )
 
 
+def _side_totals(counts: DataFrame, columns: list[str]) -> DataFrame:
+    """``feature, n_reference, n_current``: a row per column, whether or not it has any values."""
+    names = counts.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    totals = counts.groupBy("feature").agg(*[F.sum(s).alias(f"n_{s}") for s in SIDES])
+    return names.join(totals, "feature", "left").na.fill(0, [f"n_{s}" for s in SIDES])
+
+
 def psi(events: DataFrame, column: str, reference: Column, current: Column, bins: int = PSI_BINS) -> DataFrame:
-    scores = psi_from_counts(drift_counts(events, [column], reference, current), bins)
-    return scores.select("feature", "psi", psi_band(F.col("psi")).alias("band"))
+    """``feature, psi, band``: always one row; null where a side has no values, as nothing can be compared."""
+    counts = drift_counts(events, [column], reference, current)
+    scores = _side_totals(counts, [column]).join(psi_from_counts(counts, bins), "feature", "left")
+    known = F.when((F.col("n_reference") > 0) & (F.col("n_current") > 0), F.col("psi"))
+    return scores.select("feature", known.alias("psi")).withColumn("band", F.when(F.col("psi").isNotNull(), psi_band(F.col("psi"))))
 
 
 def _days(n: int) -> Column:
@@ -194,16 +204,22 @@ def drift_report(events: DataFrame, method: str = "distance") -> DataFrame:
 
     Rows with a null in any watched column are left out on both sides. Every row
     repeats the share of drifted columns and the verdict for the whole table. Both tests
-    are shown; ``method``, "distance" or "ks", says which one decides.
+    are shown; ``method``, "distance" or "ks", says which one decides. Every column has a row: if a side
+    has no rows, ``status`` is ``insufficient_data`` and figures and verdicts are null.
     """
     if method not in ("distance", "ks"):
         raise ValueError(f"no such method: {method}")
     columns = list(WATCHED)
     windowed, reference, current = _windowed(events.select("time_utc", *columns), None)
     counts = drift_counts(windowed.na.drop(subset=columns), columns, reference, current)
-    joined = two_sample_distances(counts).join(psi_from_counts(counts), "feature")
+    totals = _side_totals(counts, columns)
+    found = two_sample_distances(counts).drop("n_reference", "n_current").join(psi_from_counts(counts), "feature")
+    enough = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
+    joined = totals.join(found, "feature", "left").withColumn("status", F.when(enough, "ok").otherwise("insufficient_data"))
+    figures = ("ks", "wasserstein_normed", "psi")
+    joined = joined.withColumns({c: F.when(enough, F.col(c)) for c in figures})
     n, m = F.col("n_reference").cast("double"), F.col("n_current").cast("double")
-    significant = F.col("ks") > F.lit(KS_FACTOR_5_PERCENT) * F.sqrt((n + m) / (n * m))
+    significant = F.col("ks") > F.lit(KS_FACTOR_5_PERCENT) * F.sqrt(F.try_divide(n + m, n * m))
     # One row per watched column: the window sees as many rows as there are columns.
     table = Window.partitionBy(F.lit(0))
     share = F.avg(F.col("drifted").cast("double")).over(table)

@@ -37,11 +37,16 @@ def confusion_matrix(
     label: str = "y",
     probability: str = "proba",
 ) -> DataFrame:
-    """True and false negatives and positives, per group if asked."""
+    """True and false negatives and positives, per group if asked.
+
+    A row without a label or a score belongs to none of the four, so it is an error, not left out.
+    """
     positive = threshold_predict(F.col(probability), threshold) == 1
     actual = F.col(label) == 1
+    unknown = F.count_if(F.col(label).isNull() | F.col(probability).isNull())
+    failed = F.raise_error(F.concat(unknown.cast("string"), F.lit(" rows have no label or no score"))).cast("long")
     return scored.groupBy(*groups).agg(
-        F.count_if(~actual & ~positive).alias("tn"),
+        F.when(unknown > 0, failed).otherwise(F.count_if(~actual & ~positive)).alias("tn"),
         F.count_if(~actual & positive).alias("fp"),
         F.count_if(actual & ~positive).alias("fn"),
         F.count_if(actual & positive).alias("tp"),

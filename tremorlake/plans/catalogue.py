@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tremorlake.operators import clean
 from tremorlake.operators.dedup import dedup_feed_order, dedup_source_priority, union_feeds
 from tremorlake.schema import DEFAULT_DEPTH_KM
+from tremorlake.session import cut_lineage
 
 
 def ingest(*feeds: DataFrame) -> DataFrame:
@@ -19,10 +20,19 @@ def typed_events(raw: DataFrame) -> DataFrame:
     return clean.normalize_types(clean.conform_schema(raw))
 
 
+def _screened(typed: DataFrame) -> DataFrame:
+    complete = clean.impute_defaults(clean.drop_critical_nulls(typed))
+    return clean.filter_valid_ranges(clean.filter_bbox(complete))
+
+
 def screened_events(raw: DataFrame) -> DataFrame:
     """The narrow part of cleaning: typing, required fields, defaults, ranges. No shuffle."""
-    complete = clean.impute_defaults(clean.drop_critical_nulls(typed_events(raw)))
-    return clean.filter_valid_ranges(clean.filter_bbox(complete))
+    return _screened(typed_events(raw))
+
+
+def _cleaned(typed: DataFrame) -> DataFrame:
+    keys = [c for c in ("snapshot", "event_id") if c in typed.columns]
+    return clean.add_derived(dedup_source_priority(_screened(typed), keys))
 
 
 def clean_events(raw: DataFrame) -> DataFrame:
@@ -30,8 +40,7 @@ def clean_events(raw: DataFrame) -> DataFrame:
 
     Frames with a ``snapshot`` column are cleaned per snapshot in the same job.
     """
-    keys = [c for c in ("snapshot", "event_id") if c in raw.columns]
-    return clean.add_derived(dedup_source_priority(screened_events(raw), keys))
+    return _cleaned(typed_events(raw))
 
 
 def _row_checks() -> dict[str, Column]:
@@ -45,12 +54,13 @@ def _row_checks() -> dict[str, Column]:
 def quality_report(raw: DataFrame) -> DataFrame:
     """Counts per cleaning step, then the summary of the clean table, as (metric, key, value).
 
-    The first part is one pass of conditional counts; the second groups the
-    clean rows to (zone, source) once and derives every figure from that.
+    Text is read and typed once; the typed rows are stored. The first part is one pass of
+    conditional counts over them; the second groups the clean rows to (zone, source) once
+    and derives every figure from that.
     """
+    typed = cut_lineage(typed_events(raw), "typed-events")
     steps = (
-        typed_events(raw)
-        .withColumns(_row_checks())
+        typed.withColumns(_row_checks())
         .agg(
             F.count(F.lit(1)).alias("rows_read"),
             F.count_if(~F.col("complete")).alias("rows_without_critical_fields"),
@@ -60,7 +70,7 @@ def quality_report(raw: DataFrame) -> DataFrame:
         )
     )
     cells = (
-        clean_events(raw)
+        _cleaned(typed)
         .groupBy("zona_sesar", "source")
         .agg(
             F.count(F.lit(1)).alias("n"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorlake.operators import gates, registry
+from tremorlake.operators import clean, gates, registry
 from tremorlake.operators.dedup import first_per_key
 from tremorlake.operators.drift import drift_quick_check, drift_report
 from tremorlake.operators.model import VARIATIONS, Variation, save_model
@@ -25,12 +25,17 @@ def ingest_job(
     bulletins: dict[str, str] | None = None,
     dry_run: bool = False,
     multi_line: bool = False,
+    hours: int | None = None,
 ) -> DataFrame | None:
     """Landed feeds to one raw snapshot and its manifest row; a dry run returns the preview.
 
-    ``bulletins`` maps a source name to the path of its documents.
+    ``bulletins`` maps a source name to the path of its documents. With ``hours`` the main feed is taken as its
+    request asks for it: that far back from now, within the area, and of the feed's least magnitude.
     """
     parts = [feeds.scan_geojson_feed(spark, geojson, multi_line=multi_line)] if geojson else []
+    if parts and hours is not None:
+        now = F.current_timestamp()
+        parts[0] = clean.feed_window(parts[0], now - F.make_dt_interval(hours=F.lit(hours)), now)
     for source, path in (bulletins or {}).items():
         parts.append(feeds.scan_bulletin_feed(spark, path, source, multi_line=multi_line).events)
     if not parts:
@@ -46,15 +51,17 @@ def ingest_job(
     return None
 
 
-def preprocess_job(spark: SparkSession, raw_folder: str, processed: str, every: bool = False) -> None:
-    """Clean the newest raw snapshot, or every one in a single job, each by itself.
+def preprocess_job(
+    spark: SparkSession, raw_folder: str, processed: str, every: bool = False, name: str | None = None
+) -> None:
+    """Clean the newest raw snapshot, or the named one, or every one in a single job, each by itself.
 
     The table is partitioned by snapshot; a snapshot that is cleaned again replaces its own part only.
     """
     if every:
         raw = snapshots.scan_all_snapshots(spark, raw_folder)
     else:
-        name = snapshots.list_snapshots(spark, raw_folder).agg(F.max("snapshot")).first()[0]
+        name = name or snapshots.list_snapshots(spark, raw_folder).agg(F.max("snapshot")).first()[0]
         raw = snapshots.scan_raw_csv(spark, f"{raw_folder}/{name}").withColumn("snapshot", F.lit(name))
     writer = clean_events(raw).hint("rebalance", "snapshot").write.partitionBy("snapshot")
     writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(processed)
@@ -99,12 +106,16 @@ def read_runs(spark: SparkSession, runs: str) -> DataFrame:
     return ready(spark).read.schema(RUNS).parquet(runs)
 
 
-def evaluate_job(spark: SparkSession, runs: str, rule: str = "all") -> DataFrame:
-    """The best run and its verdict: every metric (``all``) or the two-of-three rule."""
-    table = read_runs(spark, runs)
+def evaluate_job(spark: SparkSession, runs: str, rule: str = "all", minimum: dict[str, float] | None = None) -> DataFrame:
+    """The best run and its verdict: every metric (``all``) or the two-of-three rule.
+
+    ``minimum`` replaces the rule's bounds of the metrics it names.
+    """
+    table, given = read_runs(spark, runs), minimum or {}
     if rule == "all":
-        return gates.gate_all(gates.top_runs(table, limit=1))
-    return gates.gate_two_of_three(gates.top_runs(table, finished_only=False, limit=1))
+        return gates.gate_all(gates.top_runs(table, limit=1), {**gates.CI_MINIMUM, **given})
+    best = gates.top_runs(table, finished_only=False, limit=1)
+    return gates.gate_two_of_three(best, {**gates.PROMOTION_MINIMUM, **given})
 
 
 def promote_job(spark: SparkSession, entry: DataFrame, history: str) -> DataFrame:
