@@ -380,6 +380,7 @@ FROM texts""",
     "snapshot_expand": _with(EV, MAIN) + """SELECT event_id, time_utc, unnest([1, 3, 6, 12, 24, 48, 72])
   AS snapshot_hours FROM main""",
     "build_feature_table": _FEAT + _FEATURE_ROUNDED,
+    "refresh_features": _FEAT + _FEATURE_ROUNDED,
     "aftershock_features": _FEAT + """SELECT mainshock_id, snapshot_hours, count_susulan_1jam, count_susulan_6jam,
   count_susulan_24jam, round(max_mag_susulan_6jam, 6) AS max_mag_susulan_6jam,
   round(max_mag_susulan_24jam, 6) AS max_mag_susulan_24jam FROM feat""",

@@ -25,7 +25,7 @@ from tremorlake.operators import (
 )
 from tremorlake.plans import catalogue as plans
 from tremorlake.plans import features as feature_plan
-from tremorlake.plans import training
+from tremorlake.plans import refresh, training
 from tremorlake.schema import FEATURE_TABLE, FEATURES, RAW_COLUMNS, TARGET
 from tremorlake.session import cut_lineage, new_path, ready
 from tremorlake.sources import feeds, sinks, snapshots, tables
@@ -389,6 +389,22 @@ def build_feature_table(spark, sf_dir):
     return _rounded_features(_features(spark, sf_dir))
 
 
+@query
+def refresh_features(spark, sf_dir):
+    """Three snapshots that arrive one after the other, each with days of its own and late events."""
+    events = inputs.seismic_events(spark, sf_dir)
+    late = F.col("event_id") % 500 == 0
+    second, third = (F.col("time_utc") >= F.lit(t).cast("timestamp") for t in ("2024-01-22", "2024-01-28"))
+    arrival = F.when(third, 2).when(second, F.when(late, 2).otherwise(1)).otherwise(F.when(late, 1).otherwise(0))
+    arrived = cut_lineage(events.withColumn("arrival", arrival), "arrivals")
+    table = new_path(spark, "kept-features")
+    refresh.rebuild_features(table, arrived.filter("arrival = 0").drop("arrival"))
+    for n in (1, 2):
+        seen = arrived.filter(F.col("arrival") <= n)
+        refresh.refresh_features(table, seen.drop("arrival"), seen.filter(F.col("arrival") == n).drop("arrival"), str(n))
+    return _rounded_features(refresh.read_kept_features(spark, table))
+
+
 @query
 def aftershock_features(spark, sf_dir):
     counts = [c for c in FEATURES if "susulan" in c]

@@ -14,19 +14,12 @@ from tremorlake.session import cut_lineage
 from tremorlake.schema import DEFAULT_DEPTH_KM, LABEL_WINDOW_HOURS, SNAPSHOT_HOURS, TARGET
 
 
-def build_feature_table(
-    events: DataFrame, snapshots: Sequence[int] = SNAPSHOT_HOURS, label_complete: bool = False
+def feature_rows(
+    mainshocks: DataFrame, events: DataFrame, snapshots: Sequence[int], carried: Sequence[str] = ()
 ) -> DataFrame:
-    """Features and label of every mainshock at every snapshot.
-
-    Mainshocks that share an epicentre share their aftershocks, so the windows
-    are computed once per epicentre and joined back. The mainshocks are few and
-    used twice, so they are written to the shared folder in between.
-    ``label_complete`` adds a flag for labels whose window lies inside the catalogue.
-    """
-    mainshocks = cut_lineage(find_mainshocks(events), "mainshocks")
+    """Features and label of the given mainshocks, which are read twice; ``carried`` columns of theirs stay."""
     windows = snapshot_aggregates(mainshocks.select(*EPICENTRE).distinct(), events, snapshots)
-    rows = mainshocks.join(windows, list(EPICENTRE)).select(
+    return mainshocks.join(windows, list(EPICENTRE)).select(
         F.col("event_id").cast("string").alias("mainshock_id"),
         F.col("time_utc").alias("mainshock_time"),
         "snapshot_hours",
@@ -41,7 +34,21 @@ def build_feature_table(
         "max_mag_susulan_24jam",
         catalogue.omori_rate(F.col("snapshot_hours")).alias("omori_rate_est"),
         TARGET,
+        *carried,
     )
+
+
+def build_feature_table(
+    events: DataFrame, snapshots: Sequence[int] = SNAPSHOT_HOURS, label_complete: bool = False
+) -> DataFrame:
+    """Features and label of every mainshock at every snapshot.
+
+    Mainshocks that share an epicentre share their aftershocks, so the windows
+    are computed once per epicentre and joined back. The mainshocks are few and
+    used twice, so they are written to the shared folder in between.
+    ``label_complete`` adds a flag for labels whose window lies inside the catalogue.
+    """
+    rows = feature_rows(cut_lineage(find_mainshocks(events), "mainshocks"), events, snapshots)
     if label_complete:
         window_end = F.col("mainshock_time") + F.make_dt_interval(
             F.lit(0), F.col("snapshot_hours") + LABEL_WINDOW_HOURS
