@@ -13,7 +13,10 @@ from tremorlake.checks import inputs
 from tremorlake.operators import boosting, neighbors
 from tremorlake.operators.model import GbtParams, Variation
 from tremorlake.plans import jobs
-from tremorlake.schema import FEATURE_TABLE
+from tremorlake.plans.features import build_feature_table
+from tremorlake.plans.refresh import read_kept_features
+from tremorlake.schema import CLEAN, FEATURE_TABLE
+from tremorlake.sources import daily, sinks
 
 SF_DIR = "/root/testdata/sf0.01"
 SMALL = GbtParams(n_estimators=3, max_depth=2, subsample=1.0, colsample=1.0, min_child_weight=1, gamma=0.0)
@@ -80,6 +83,28 @@ def test_whole_path(spark, folder, capsys):
     assert jobs.drift_job(spark, at["processed"], full=True).count() == 4
 
 
+def test_refresh_follows_the_snapshots(spark, folder):
+    """Snapshot after snapshot gives what the whole jobs give; a run that stopped after the events is finished."""
+    at = {n: str(folder / f"refresh-{n}") for n in ("raw", "processed", "events", "features", "halted")}
+    events = inputs.raw_events(spark, SF_DIR)
+    n = F.col("feed_position")
+    for k, part in enumerate((n % 3 == 0, n % 3 == 1, n % 5 < 2), start=1):
+        sinks.sink_raw_snapshot(events.filter(part), at["raw"], f"2024020{k}_000000")
+        main(["preprocess", "--raw", at["raw"], "--processed", at["processed"]])
+        if k == 2:
+            jobs.refresh_job(spark, at["processed"], at["events"], at["halted"])
+        main(["refresh", "--processed", at["processed"], "--events", at["events"], "--kept-features", at["features"]])
+    jobs.refresh_job(spark, at["processed"], at["events"], at["halted"])
+    expected = jobs.read_processed(spark, at["processed"])
+    kept = daily.read_days(spark, at["events"], CLEAN).select(*CLEAN.names)
+    assert kept.exceptAll(expected).isEmpty() and expected.exceptAll(kept).isEmpty()
+    whole = build_feature_table(expected)
+    for table in (at["features"], at["halted"]):
+        features = read_kept_features(spark, table)
+        assert features.exceptAll(whole).isEmpty() and whole.exceptAll(features).isEmpty()
+        assert daily.last_mark(spark, table) == "gempa_20240203_000000.csv"
+
+
 def test_evaluate_reads_the_best_run(spark, tmp_path):
     rows = [("1", "a", "FINISHED", 0.36, 0.31, 0.41, None), ("2", "b", "FAILED", 0.9, 0.9, 0.9, None)]
     runs = spark.createDataFrame(rows, "run_id string, run_name string, status string, pr_auc double, f1_score double, recall double, params map<string,string>")

@@ -4,9 +4,11 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tremorlake.operators.dedup import dedup_source_priority
+from tremorlake.operators.merge import merge_days
 from tremorlake.plans.catalogue import clean_events
-from tremorlake.schema import CLEAN, RAW_COLUMNS, RAW_TEXT
-from tremorlake.sources import feeds, sinks, snapshots, tables
+from tremorlake.schema import CLEAN, RAW_COLUMNS, RAW_TEXT, RAW_TYPED
+from tremorlake.sources import daily, feeds, sinks, snapshots, tables
 from tremorlake.streaming import ingest
 
 ROW = ("a", "USGS", "2026-05-12T08:53:56+00:00", "4.8", "127.5", "108.5", "5.0", "mb", "sea, north", None, "reviewed", "2026-05-12T11:00:00+00:00")
@@ -162,6 +164,35 @@ def test_stream_continues_and_keeps_late_rows(spark, tmp_path):
     assert spark.read.parquet(table).count() == 3
 
 
+def test_merged_stream_gives_the_batch_answer(spark, tmp_path):
+    """Late, better and repeated copies on several days, a run that stops before the files are listed, and a replay."""
+    landing, table, state, merged = (str(tmp_path / n) for n in ("landing", "table", "state", "merged"))
+    runs = [
+        raw(spark, "a", "b", source="BMKG-terkini"),
+        raw(spark, "a", time_utc="2020-01-01T00:00:00").unionByName(raw(spark, "bad", magnitude="x")),
+        raw(spark, "b", time_utc="2021-05-05T00:00:00", source="BMKG-dirasakan").unionByName(raw(spark, "c")),
+    ]
+    columns = ["event_id", "source", "time_utc", "ingested_at"]
+    for n, rows in enumerate(runs, start=1):
+        sinks.sink_raw_snapshot(rows, landing, str(n))
+        ingest.append_screened(ingest.read_landing(spark, f"{landing}/*"), table, state).awaitTermination()
+        assert ingest.merge_screened(spark, table, merged) == n
+        batch = ingest.read_screened(spark, table).select(columns).collect()
+        assert sorted(ingest.read_merged(spark, merged).select(columns).collect()) == sorted(batch)
+    assert ingest.merge_screened(spark, table, merged) is None
+    moved = daily.read_log(spark, merged).filter("number = 2 and day is not null")
+    assert moved.count() == 2  # the day it left and the day it came to
+
+    before = sorted(ingest.read_merged(spark, merged).collect())
+    merge_days(merged, spark.read.schema(RAW_TYPED).parquet(table), RAW_TYPED, dedup_source_priority)
+    assert sorted(ingest.read_merged(spark, merged).collect()) == before
+    assert daily.read_log(spark, merged).filter("number = 4 and day is not null").isEmpty()
+    read = ingest.read_merged(spark, merged)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    # Rows meet the folded log, which is sent to them; only the log is shuffled.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+
+
 def test_stream_dedup_in_flight(spark, tmp_path):
     landing = str(tmp_path / "landing")
     sinks.sink_raw_snapshot(raw(spark, "a", "a", "b"), landing, "1")

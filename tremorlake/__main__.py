@@ -42,6 +42,11 @@ def _parser() -> argparse.ArgumentParser:
     features.add_argument("--output", required=True)
     features.add_argument("--csv")
 
+    refresh = commands.add_parser("refresh", help="new clean snapshots into the kept tables of events and features")
+    refresh.add_argument("--processed", required=True)
+    refresh.add_argument("--events", required=True)
+    refresh.add_argument("--kept-features", required=True)
+
     train = commands.add_parser("train", help="train and compare the configurations")
     train.add_argument("--features", required=True)
     train.add_argument("--runs", required=True)
@@ -89,6 +94,8 @@ def main(arguments: list[str] | None = None) -> int:
         jobs.preprocess_job(spark, args.raw, args.processed, args.all, args.input)
     elif args.command == "features":
         jobs.features_job(spark, args.processed, args.output, args.csv)
+    elif args.command == "refresh":
+        jobs.refresh_job(spark, args.processed, args.events, args.kept_features)
     elif args.command == "train":
         variations = VARIATIONS
         if args.run_name:

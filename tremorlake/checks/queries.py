@@ -651,6 +651,20 @@ def stream_ingest_dedup(spark, sf_dir):
     return _clean_view(ingest.read_screened(spark, table))
 
 
+@query
+def stream_merge_by_day(spark, sf_dir):
+    """Snapshots land one by one; each is streamed and merged before the next."""
+    landed = _land_snapshots(spark, sf_dir, "merge-landing")
+    table, state, merged = (new_path(spark, f"merge-{n}") for n in ("table", "state", "events"))
+    landing = new_path(spark, "merge-stream")
+    for k in (1, 2, 3):
+        one = snapshots.scan_raw_csv(spark, f"{landed}/gempa_2024020{k}_000000.csv")
+        sinks.sink_raw_snapshot(one, landing, f"2024020{k}_000000")
+        ingest.append_screened(ingest.read_landing(spark, f"{landing}/*"), table, state).awaitTermination()
+        ingest.merge_screened(spark, table, merged)
+    return _clean_view(ingest.read_merged(spark, merged))
+
+
 # -- class balancing and models ------------------------------------------------------
 
 

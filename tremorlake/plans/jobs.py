@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tremorlake.operators import clean, gates, registry
 from tremorlake.operators.dedup import first_per_key
 from tremorlake.operators.drift import drift_quick_check, drift_report
+from tremorlake.operators.merge import merge_days
 from tremorlake.operators.model import VARIATIONS, Variation, save_model
+from tremorlake.plans import refresh
 from tremorlake.plans.catalogue import clean_events, ingest
 from tremorlake.plans.features import build_feature_table
 from tremorlake.plans.training import prepare_train_test, run_variations
 from tremorlake.schema import CLEAN, RUNS, TEST_SIZE
 from tremorlake.session import cut_lineage, ready
-from tremorlake.sources import feeds, sinks, snapshots, tables
+from tremorlake.sources import daily, feeds, sinks, snapshots, tables
 
 
 def ingest_job(
@@ -78,6 +81,36 @@ def features_job(spark: SparkSession, processed: str, output: str, csv: str | No
     sinks.sink_features(build_feature_table(cut_lineage(read_processed(spark, processed), "events")), output, csv)
 
 
+def _by_snapshot(rows: DataFrame) -> DataFrame:
+    return first_per_key(rows, ["event_id"], [F.col("snapshot")])
+
+
+def refresh_job(spark: SparkSession, processed: str, events: str, features: str) -> None:
+    """Bring the tables of events and features up to the newest cleaned snapshot.
+
+    Both are tables by day that know the last snapshot they hold. Snapshots after it are read and merged, an event
+    keeps its first row, and features are computed anew only where events were added. A run that stops after the
+    events goes on with the features next time. A snapshot that is cleaned again after it was merged is not seen:
+    give new folders then.
+    """
+    kept = StructType(CLEAN.fields + [StructField("snapshot", StringType())])
+    rows = ready(spark).read.schema(kept).parquet(processed)
+    held = daily.last_mark(spark, events)
+    newest = rows.agg(F.max("snapshot")).first()[0]
+    if newest is not None and (held is None or newest > held):
+        new = rows if held is None else rows.filter(F.col("snapshot") > held)
+        merge_days(events, new, kept, _by_snapshot, newest)
+        held = newest
+    done = daily.last_mark(spark, features)
+    if held is None or held == done:
+        return
+    catalogue = daily.read_days(spark, events, kept).drop("day")
+    if done is None:
+        refresh.rebuild_features(features, catalogue, held)
+    else:
+        refresh.refresh_features(features, catalogue, catalogue.filter(F.col("snapshot") > done), held)
+
+
 def train_job(
     spark: SparkSession,
     features: str,
