@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import zlib
 from pathlib import Path
@@ -133,6 +134,28 @@ def test_impact_index():
         assert list(places) == best and list(scores) == [exact[i] for i in best]
 
 
+def _asked(rows, vec_id, k):
+    """Ids and exact scores by plain whole numbers."""
+    whole = {i: [max(-(1 << 63), min((1 << 63) - 1, math.floor(1024.0 * x))) for x in v] for i, v in rows}
+    scores = {i: sum(a * b for a, b in zip(v, whole[vec_id])) for i, v in whole.items() if i != vec_id}
+    best = sorted(scores, key=lambda i: (-scores[i], i))[:k]
+    return [(i, scores[i] if -(1 << 63) <= scores[i] < 1 << 63 else None) for i in best]
+
+
+@pytest.mark.parametrize("large", [1e6, 1e12, 1e300])
+def test_components_of_any_size(table, large):
+    """A block with large components, in one block and over many, next to small ones and scores beyond 63 bits."""
+    rng = np.random.default_rng(7)
+    rows = [(n, rng.normal(size=64).tolist()) for n in range(120)]
+    rows += [(120, [large] * 64), (121, [-large] * 64), (122, [large] + [0.0] * 63), (123, [large] * 64), (124, [0.0] * 64)]
+    df = table(rows, "vec_id long, embedding array<double>")
+    for blocks in ({}, {"block_rows": 20, "block_queries": 1}):
+        found = topk.top_k(df, df.filter("vec_id in (0, 7, 120, 122)"), k=8, **blocks).collect()
+        for query in (0, 7, 120, 122):
+            got = [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == query]
+            assert got == _asked(rows, query, 8)
+
+
 def test_topk_edges(table):
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (None, [9.0, 9.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [1.0])]
     df = table(rows, "vec_id long, embedding array<double>")

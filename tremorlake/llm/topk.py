@@ -14,8 +14,10 @@ candidate, however often it occurs; other repeated rows are candidates each; a q
 row that is repeated as a whole is asked once, and two different ones under one id are
 asked together: the best of both stand in the answer; ties go to the smaller id, null
 ids last; fewer than k candidates are all returned; an empty table gives no row; extra
-columns are left behind. Whole numbers must keep the product within 63 bits, else the
-job fails.
+columns are left behind. Components may be of any size: a block whose products could pass
+63 bits is searched in whole numbers without a limit, in the same way. A component that
+passes 63 bits once scaled counts as the end of the 64-bit range on its side. A score
+beyond that range has its exact rank and a null as its score.
 """
 
 from __future__ import annotations
@@ -33,7 +35,10 @@ LEVELS = 64
 # Each round takes the segments that can add at least this share of the round before.
 _STEP = 0.45
 
-RESULT = "query_id bigint, vec_id bigint, score bigint"
+# A score in parts that order as it does, and itself where it fits.
+_PARTS = ("high", "middle", "low")
+RESULT = "query_id bigint, vec_id bigint, score bigint, high bigint, middle bigint, low bigint"
+_WORD = 48
 
 
 def quantised(vector: str | Column, scale: int = SCALE) -> Column:
@@ -46,8 +51,14 @@ def usable(vector: str | Column) -> Column:
     return F.coalesce(~F.exists(F.transform(vector, lambda x: x.cast("double")), bad), F.lit(False))
 
 
+def _parts(score: int) -> tuple[int | None, int, int, int]:
+    mask = (1 << _WORD) - 1
+    fits = -(1 << 63) <= score < 1 << 63
+    return score if fits else None, score >> 2 * _WORD, score >> _WORD & mask, score & mask
+
+
 class ImpactIndex:
-    """Rows of one block, ordered by impact in each dimension."""
+    """Rows of one block, ordered by impact in each dimension; 64-bit numbers or Python's own."""
 
     def __init__(self, ids, vectors):
         import numpy as np
@@ -73,7 +84,7 @@ class ImpactIndex:
         """Places and exact scores of the k best rows, ties by place."""
         import numpy as np
 
-        n, sums = self.n, np.zeros(self.n, np.int64)
+        n, sums = self.n, np.zeros(self.n, self.vectors.dtype)
         weight = np.abs(query)
         up = query > 0
         least = np.where(up, query * self.low, query * (self.low + self.span)).sum()
@@ -119,7 +130,7 @@ class ImpactIndex:
                 if possible <= max(8 * k, n // 16):
                     break
         rest = left.sum()
-        sums[mine] = np.iinfo(np.int64).min // 2
+        sums[mine] = -(rest + 1)
         if others > k:
             kth = np.partition(sums, n - k)[n - k]
             members = np.nonzero(sums + rest >= kth)[0]
@@ -168,26 +179,27 @@ def top_k(
     def search(block: pa.Table, some: pa.Table) -> pa.Table:
         import numpy as np
 
-        out_query, out_id, out_score = [], [], []
+        out_query, out_id, out_parts = [], [], []
         if block.num_rows and some.num_rows:
             dims = block.column("dims")[0].as_py()
             vectors, wanted = _matrix(block.column("v"), dims), _matrix(some.column("v"), dims)
-            most = max(int(np.abs(vectors).max(initial=0)), int(np.abs(wanted).max(initial=0)))
+            most = max(abs(int(f(x))) for x in (vectors, wanted) for f in (np.min, np.max)) if dims else 0
             if most * most * max(1, dims) * 4 >= 1 << 63:
-                raise ValueError(f"components up to {most} don't keep the product within 63 bits")
+                vectors, wanted = vectors.astype(object), wanted.astype(object)
             ids = np.array([_NULL_ID if i is None else i for i in block.column("id").to_pylist()], np.int64)
             index = ImpactIndex(ids, vectors)
             for query_id, query in zip(some.column("id").to_pylist(), wanted):
                 places, scores = index.top_k(query, query_id, k)
                 out_query += [query_id] * len(places)
                 out_id += [None if i == _NULL_ID else int(i) for i in index.ids[places]]
-                out_score += scores.tolist()
-        arrays = [pa.array(x, pa.int64()) for x in (out_query, out_id, out_score)]
-        return pa.Table.from_arrays(arrays, ["query_id", "vec_id", "score"])
+                out_parts += [_parts(s) for s in scores.tolist()]
+        columns = [out_query, out_id, *(zip(*out_parts) if out_parts else [[]] * 4)]
+        arrays = [pa.array(list(x), pa.int64()) for x in columns]
+        return pa.Table.from_arrays(arrays, ["query_id", "vec_id", "score", *_PARTS])
 
     keys = ("dims", "block", "part")
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, RESULT)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
+    order = Window.partitionBy("query_id").orderBy(*[F.desc(c) for c in _PARTS], F.asc_nulls_last("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
