@@ -6,6 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tremorlake.operators import drift
+from tremorlake.operators.dedup import dedup_source_priority
+from tremorlake.operators.merge import merge_days
+from tremorlake.plans import drift_counts
+from tremorlake.schema import RAW_TYPED
+from tremorlake.sources import daily
 
 END = dt.datetime(2024, 6, 1)
 SCHEMA = "time_utc timestamp, magnitude double, depth_km double, latitude double, longitude double"
@@ -102,3 +107,41 @@ def test_a_side_without_rows_has_a_status(spark):
     early = F.col("time_utc") < F.lit("1999-01-01").cast("timestamp")
     for one, other in ((early, ~early), (~early, early)):
         assert [tuple(r) for r in drift.psi(df, "magnitude", one, other).collect()] == [("magnitude", None, None)]
+
+
+def _event_rows(spark, seed, first_day, n):
+    """Events over twenty days with gaps, repeated values and missing cells, one of them the newest."""
+    rng = np.random.default_rng(seed)
+    hole = lambda x: None if rng.random() < 0.1 else (float("nan") if rng.random() < 0.05 else x)
+    rows = []
+    for i in range(n):
+        time = dt.datetime(2024, 3, 1) + dt.timedelta(days=first_day, microseconds=int(rng.integers(0, 20 * 86400 * 10**6)))
+        rows.append((f"{seed}-{i % (n - 9)}", "BMKG", time, *[hole(round(float(x), 1)) for x in rng.normal([0, 100, 30, 4.5], 1)]))
+    rows.append((f"{seed}-last", "USGS", dt.datetime(2024, 3, 21, 15, 30) + dt.timedelta(days=first_day), 0.0, 100.0, 5.0, None))
+    df = spark.createDataFrame(rows, "event_id string, source string, time_utc timestamp, latitude double, longitude double, depth_km double, magnitude double")
+    return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_TYPED])
+
+
+def _close(kept, scanned):
+    rows = [sorted(df.collect(), key=str) for df in (kept, scanned)]
+    assert len(rows[0]) == len(rows[1])
+    for one, other in zip(*rows):
+        for a, b in zip(one, other):
+            assert math.isclose(a, b, abs_tol=1e-9) if isinstance(a, float) else a == b
+
+
+def test_kept_counts_equal_the_full_scan(spark, tmp_path):
+    """After each merge, late and repeated events among them, both checks are as from all events; one day at least is empty."""
+    at, counts = str(tmp_path / "events"), str(tmp_path / "counts")
+    none = daily.read_days(spark, at, RAW_TYPED)
+    drift_counts.refresh_counts(spark, at, RAW_TYPED, counts)
+    assert drift_counts.drift_quick_check(spark, counts, none).first().status == "insufficient_data"
+    for turn, (first_day, n) in enumerate([(0, 250), (25, 250), (10, 90)]):
+        merge_days(at, _event_rows(spark, turn, first_day, n), RAW_TYPED, dedup_source_priority)
+        drift_counts.refresh_counts(spark, at, RAW_TYPED, counts)
+        events = daily.read_days(spark, at, RAW_TYPED)
+        _close(drift_counts.drift_quick_check(spark, counts, events), drift.drift_quick_check(events))
+        _close(drift_counts.drift_report(spark, counts, events), drift.drift_report(events))
+    before = daily.read_log(spark, counts).count()
+    drift_counts.refresh_counts(spark, at, RAW_TYPED, counts)
+    assert daily.read_log(spark, counts).count() == before

@@ -83,7 +83,7 @@ def test_whole_path(spark, folder, capsys):
     assert jobs.drift_job(spark, at["processed"], full=True).count() == 4
 
 
-def test_refresh_follows_the_snapshots(spark, folder):
+def test_refresh_follows_the_snapshots(spark, folder, capsys):
     """Snapshot after snapshot gives what the whole jobs give; a run that stopped after the events is finished."""
     at = {n: str(folder / f"refresh-{n}") for n in ("raw", "processed", "events", "features", "halted")}
     events = inputs.raw_events(spark, SF_DIR)
@@ -94,10 +94,15 @@ def test_refresh_follows_the_snapshots(spark, folder):
         if k == 2:
             jobs.refresh_job(spark, at["processed"], at["events"], at["halted"])
         main(["refresh", "--processed", at["processed"], "--events", at["events"], "--kept-features", at["features"]])
+        if k != 2:
+            main(["drift", "--events", at["events"], "--counts", at["events"] + "-counts"])
+            assert "ok" in capsys.readouterr().out
     jobs.refresh_job(spark, at["processed"], at["events"], at["halted"])
     expected = jobs.read_processed(spark, at["processed"])
     kept = daily.read_days(spark, at["events"], CLEAN).select(*CLEAN.names)
     assert kept.exceptAll(expected).isEmpty() and expected.exceptAll(kept).isEmpty()
+    kept_check = jobs.kept_drift_job(spark, at["events"], at["events"] + "-counts").drop("psi_magnitude").collect()
+    assert kept_check == jobs.drift_job(spark, at["processed"]).drop("psi_magnitude").collect()
     whole = build_feature_table(expected)
     for table in (at["features"], at["halted"]):
         features = read_kept_features(spark, table)

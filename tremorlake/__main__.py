@@ -74,7 +74,10 @@ def _parser() -> argparse.ArgumentParser:
     promote.add_argument("--pr-auc", type=float, default=0.0)
 
     drift = commands.add_parser("drift", help="quick check, or the report per column")
-    drift.add_argument("--processed", required=True)
+    where = drift.add_mutually_exclusive_group(required=True)
+    where.add_argument("--processed")
+    where.add_argument("--events", help="the kept table of events; needs --counts, where counts per day are kept")
+    drift.add_argument("--counts")
     drift.add_argument("--full-report", action="store_true")
     return parser
 
@@ -121,6 +124,10 @@ def main(arguments: list[str] | None = None) -> int:
             F.lit(args.pr_auc).alias("pr_auc"),
         )
         jobs.promote_job(spark, entry, args.history).show(truncate=False)
+    elif args.events:
+        if not args.counts:
+            raise SystemExit("--events needs --counts")
+        jobs.kept_drift_job(spark, args.events, args.counts, args.full_report).show(truncate=False)
     else:
         jobs.drift_job(spark, args.processed, args.full_report).show(truncate=False)
     return 0

@@ -512,6 +512,8 @@ FROM versions v LEFT JOIN promoted p USING (model_name, version) LEFT JOIN runs
     "stream_ingest_dedup": _with(*_SNAP_CLEAN, ranked("screened", "event_id", "clean"))
     + f"SELECT {CLEAN_VIEW} FROM clean",
 }
+ORACLES["drift_quick_check_kept"] = ORACLES["drift_quick_check"]
+ORACLES["drift_report_kept"] = ORACLES["drift_report"]
 ORACLES["stream_merge_by_day"] = ORACLES["stream_ingest_dedup"]
 ORACLES["sink_raw_snapshot"] = ORACLES["scan_raw_csv"]
 

@@ -25,7 +25,7 @@ from tremorlake.operators import (
 )
 from tremorlake.plans import catalogue as plans
 from tremorlake.plans import features as feature_plan
-from tremorlake.plans import refresh, training
+from tremorlake.plans import drift_counts, refresh, training
 from tremorlake.schema import FEATURE_TABLE, FEATURES, RAW_COLUMNS, TARGET
 from tremorlake.session import cut_lineage, new_path, ready
 from tremorlake.sources import feeds, sinks, snapshots, tables
@@ -526,10 +526,34 @@ def drift_quick_check(spark, sf_dir):
     return check.withColumn("psi_magnitude", F.round("psi_magnitude", 6))
 
 
+def _rounded_report(report: DataFrame) -> DataFrame:
+    return report.drop("status").withColumns({c: F.round(c, 6) for c in ("ks", "wasserstein_normed", "psi", "drift_share")})
+
+
 @query
 def drift_report(spark, sf_dir):
-    report = drift.drift_report(inputs.seismic_events(spark, sf_dir)).drop("status")
-    return report.withColumns({c: F.round(c, 6) for c in ("ks", "wasserstein_normed", "psi", "drift_share")})
+    return _rounded_report(drift.drift_report(inputs.seismic_events(spark, sf_dir)))
+
+
+def _kept_counts(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Counts of the first weeks, then of the days that new and late events touch."""
+    events, table = inputs.seismic_events(spark, sf_dir), new_path(spark, "kept-counts")
+    later = (F.col("time_utc") >= F.lit("2024-01-24").cast("timestamp")) | (F.col("event_id") % 500 == 0)
+    days = lambda rows: rows.select(F.to_date("time_utc").alias("day")).distinct()
+    drift_counts.count_days(table, events.filter(~later), days(events.filter(~later)))
+    drift_counts.count_days(table, events, days(events.filter(later)))
+    return table, events
+
+
+@query
+def drift_quick_check_kept(spark, sf_dir):
+    check = drift_counts.drift_quick_check(spark, *_kept_counts(spark, sf_dir))
+    return check.withColumn("psi_magnitude", F.round("psi_magnitude", 6))
+
+
+@query
+def drift_report_kept(spark, sf_dir):
+    return _rounded_report(drift_counts.drift_report(spark, *_kept_counts(spark, sf_dir)))
 
 
 # -- ranking, dedup, splits ----------------------------------------------------------

@@ -41,8 +41,13 @@ def drift_counts(events: DataFrame, columns: list[str], reference: Column, curre
         events.withColumns({"_reference": reference, "_current": current}),
         columns,
         {"reference": F.col("_reference"), "current": F.col("_current")},
-    ).filter("reference > 0 or current > 0")
-    counts = cut_lineage(counts, "value-counts")
+    )
+    return levelled(counts)
+
+
+def levelled(counts: DataFrame) -> DataFrame:
+    """Counts per (column, value) and side with the levels that order the values, stored."""
+    counts = cut_lineage(counts.filter("reference > 0 or current > 0"), "value-counts")
     # One row per column.
     bounds = counts.groupBy("feature").agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
     width = F.when(F.col("_high") > F.col("_low"), F.col("_high") - F.col("_low")).otherwise(1.0)
@@ -122,7 +127,11 @@ def _windowed(events: DataFrame, reference_days: int | None) -> tuple[DataFrame,
 def drift_quick_check(events: DataFrame) -> DataFrame:
     """PSI of magnitude, last week against the month before, and the retraining verdict."""
     windowed, reference, current = _windowed(events.select("time_utc", "magnitude"), REFERENCE_DAYS)
-    counts = drift_counts(windowed, ["magnitude"], reference, current)
+    return quick_verdict(drift_counts(windowed, ["magnitude"], reference, current))
+
+
+def quick_verdict(counts: DataFrame) -> DataFrame:
+    """The quick check from the counts of its two windows."""
     sizes = counts.agg(
         F.coalesce(F.sum("reference"), F.lit(0)).alias("n_reference"),
         F.coalesce(F.sum("current"), F.lit(0)).alias("n_recent"),
@@ -207,11 +216,16 @@ def drift_report(events: DataFrame, method: str = "distance") -> DataFrame:
     are shown; ``method``, "distance" or "ks", says which one decides. Every column has a row: if a side
     has no rows, ``status`` is ``insufficient_data`` and figures and verdicts are null.
     """
+    columns = list(WATCHED)
+    windowed, reference, current = _windowed(events.select("time_utc", *columns), None)
+    return report_from_counts(drift_counts(windowed.na.drop(subset=columns), columns, reference, current), method)
+
+
+def report_from_counts(counts: DataFrame, method: str = "distance") -> DataFrame:
+    """The report from the counts of both windows over all watched columns."""
     if method not in ("distance", "ks"):
         raise ValueError(f"no such method: {method}")
     columns = list(WATCHED)
-    windowed, reference, current = _windowed(events.select("time_utc", *columns), None)
-    counts = drift_counts(windowed.na.drop(subset=columns), columns, reference, current)
     totals = _side_totals(counts, columns)
     found = two_sample_distances(counts).drop("n_reference", "n_current").join(psi_from_counts(counts), "feature")
     enough = (F.col("n_reference") > 0) & (F.col("n_current") > 0)

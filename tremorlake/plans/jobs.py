@@ -11,7 +11,7 @@ from tremorlake.operators.dedup import first_per_key
 from tremorlake.operators.drift import drift_quick_check, drift_report
 from tremorlake.operators.merge import merge_days
 from tremorlake.operators.model import VARIATIONS, Variation, save_model
-from tremorlake.plans import refresh
+from tremorlake.plans import drift_counts, refresh
 from tremorlake.plans.catalogue import clean_events, ingest
 from tremorlake.plans.features import build_feature_table
 from tremorlake.plans.training import prepare_train_test, run_variations
@@ -81,6 +81,10 @@ def features_job(spark: SparkSession, processed: str, output: str, csv: str | No
     sinks.sink_features(build_feature_table(cut_lineage(read_processed(spark, processed), "events")), output, csv)
 
 
+# Events as ``refresh_job`` keeps them.
+KEPT = StructType(CLEAN.fields + [StructField("snapshot", StringType())])
+
+
 def _by_snapshot(rows: DataFrame) -> DataFrame:
     return first_per_key(rows, ["event_id"], [F.col("snapshot")])
 
@@ -93,18 +97,17 @@ def refresh_job(spark: SparkSession, processed: str, events: str, features: str)
     events goes on with the features next time. A snapshot that is cleaned again after it was merged is not seen:
     give new folders then.
     """
-    kept = StructType(CLEAN.fields + [StructField("snapshot", StringType())])
-    rows = ready(spark).read.schema(kept).parquet(processed)
+    rows = ready(spark).read.schema(KEPT).parquet(processed)
     held = daily.last_mark(spark, events)
     newest = rows.agg(F.max("snapshot")).first()[0]
     if newest is not None and (held is None or newest > held):
         new = rows if held is None else rows.filter(F.col("snapshot") > held)
-        merge_days(events, new, kept, _by_snapshot, newest)
+        merge_days(events, new, KEPT, _by_snapshot, newest)
         held = newest
     done = daily.last_mark(spark, features)
     if held is None or held == done:
         return
-    catalogue = daily.read_days(spark, events, kept).drop("day")
+    catalogue = daily.read_days(spark, events, KEPT).drop("day")
     if done is None:
         refresh.rebuild_features(features, catalogue, held)
     else:
@@ -160,3 +163,11 @@ def promote_job(spark: SparkSession, entry: DataFrame, history: str) -> DataFram
 def drift_job(spark: SparkSession, processed: str, full: bool = False) -> DataFrame:
     events = read_processed(spark, processed)
     return drift_report(events) if full else drift_quick_check(events)
+
+
+def kept_drift_job(spark: SparkSession, events: str, counts: str, full: bool = False) -> DataFrame:
+    """The same over the kept table of events: only its days that changed since the last check are counted."""
+    drift_counts.refresh_counts(ready(spark), events, KEPT, counts)
+    rows = daily.read_days(spark, events, KEPT)
+    check = drift_counts.drift_report if full else drift_counts.drift_quick_check
+    return check(spark, counts, rows)
