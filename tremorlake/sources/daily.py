@@ -2,9 +2,10 @@
 
 The rows of a commit lie in a folder of their own, by day. A log names the days each commit replaces, and a
 reader takes every day from the newest commit that names it. The log is written last and as one file, so a commit
-is seen whole or not at all, and a job that failed on the way leaves files that nobody reads. Two commits can't
-share a number: the second one fails and is run again. Replaced rows stay on disk; ``replace_all`` starts a table
-over, and its owner may then remove what the log no longer names.
+is seen whole or not at all, and a job that failed on the way leaves files that nobody reads. A table takes one
+writer at a time: a number that exists is an error, but two writers that look at the same moment aren't told apart.
+Replaced rows stay on disk; ``replace_all`` starts a table over, and its owner may then remove what the log no
+longer names.
 
 The log holds a row per commit and replaced day; folded to the newest commit of each day it is bounded by the
 calendar, so it may be broadcast, and it prunes the folders that are scanned.
