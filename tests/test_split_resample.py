@@ -1,9 +1,14 @@
 import datetime as dt
 
+import duckdb
 import numpy as np
 import pytest
+from compare import compare
 from pyspark.sql import functions as F
 
+from tremorlake.checks.inputs import EVENTS
+from tremorlake.checks.oracles import ORACLES
+from tremorlake.checks.queries import QUERIES
 from tremorlake.operators import neighbors, resample, split
 from tremorlake.operators.neighbors import nearest_neighbors
 from tremorlake.schema import FEATURES, TARGET
@@ -155,6 +160,22 @@ def test_one_class_is_an_error(spark):
         resample.smote_oversample(labelled(spark, [(0, 0, 0)], [1]), NAMES, "y")
 
 
+def test_one_class_may_stay_as_it_is(spark, tmp_path):
+    """Strong events everywhere: all isolated mainshocks have a strong aftershock, and the query's SQL adds nothing."""
+    rows = labelled(spark, [(0, 0, 0), (1, 0, 0)], [1, 1])
+    kept = resample.smote_oversample(rows, NAMES, "y", one_class=True).collect()
+    assert sorted((r.id, r.v, r.y, r.synthetic) for r in kept) == [("r0000", [0.0] * 3, 1, False), ("r0001", [1.0, 0.0, 0.0], 1, False)]
+    assert resample.smote_oversample(rows.limit(0), NAMES, "y", one_class=True).isEmpty()
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    events = [(n, start + dt.timedelta(minutes=n), 1, "x", 300.0) for n in range(40)]
+    spark.createDataFrame(events, EVENTS).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    made = QUERIES["smote_oversample"](spark, str(tmp_path))
+    assert made.count() > 0 and compare(made, con, ORACLES["smote_oversample"]) is None
+
+
 def test_splits_keep_rows_without_time_or_label(spark):
     rows = [(f"m{n}", None if n % 4 == 0 else dt.datetime(2024, 1, 1 + n), 1, None if n % 4 == 1 else n % 2) for n in range(20)]
     df = spark.createDataFrame(rows, "mainshock_id string, mainshock_time timestamp, snapshot_hours int, y int")

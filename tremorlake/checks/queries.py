@@ -703,7 +703,7 @@ def tomek_links(spark, sf_dir):
 
 @query
 def smote_oversample(spark, sf_dir):
-    rows = resample.smote_oversample(_keyed_features(spark, sf_dir))
+    rows = resample.smote_oversample(_keyed_features(spark, sf_dir), one_class=True)
     return rows.select("id", "y", "synthetic", *[_r(F.get("v", F.lit(i))).alias(f) for i, f in enumerate(FEATURES)])
 
 

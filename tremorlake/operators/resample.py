@@ -71,20 +71,24 @@ def smote_oversample(
     k: int = NEIGHBORS,
     seed: int = SEED,
     box_points: int = BOX_POINTS,
+    one_class: bool = False,
 ) -> DataFrame:
     """Add synthetic rows until both classes are equal: ``id, v, y, synthetic``.
 
     Every minority row gives the same number of synthetic rows (give or take
     one); each lies between the row and one of its ``k`` nearest minority rows.
+    With ``one_class`` rows of fewer than two classes stay as they are, else they are an error.
     """
     spark = rows.sparkSession
     placed = cut_lineage(rows.select("id", F.col(label).cast("int").alias("y"), _vector(features).alias("v")), "smote")
     sizes = {r["y"]: r["n"] for r in placed.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    base = placed.withColumn("synthetic", F.lit(False))
+    if one_class and len(sizes) < 2:
+        return base
     if len(sizes) != 2:
         raise ValueError(f"resampling needs two classes, found {sorted(sizes)}")
     minority = min(sizes, key=lambda y: (sizes[y], y))
     few, many = min(sizes.values()), max(sizes.values())
-    base = placed.withColumn("synthetic", F.lit(False))
     if few < 2 or few == many:
         return base
 
