@@ -189,6 +189,20 @@ def test_degenerate_tables(spark):
         model.train_gbt(one_class.limit(0), SMALL, ["a"], "y")
 
 
+def test_lone_class_is_trained_on(spark, table):
+    """Balancing leaves it alone, and every step after it gives its rows: trees of one leaf, equal scores."""
+    train, test = training.prepare_train_test(table.withColumn(TARGET, F.lit(1)))
+    balanced = training.resampled_train(train)
+    assert balanced.count() == train.count() and balanced.filter("synthetic").isEmpty()
+    runs, models = training.run_variations(train, test, [model.Variation("one", SMALL, 0.45)])
+    assert [(r.pr_auc, r.f1_score, r.recall) for r in runs.collect()] == [(1.0, 1.0, 1.0)]
+    (fitted,) = models.values()
+    scored = model.batch_score(fitted, test).collect()
+    assert len(scored) == test.count() and len({r.proba for r in scored}) == 1 and {r.prediction for r in scored} == {1}
+    shares = model.feature_importance(fitted, spark).collect()
+    assert sorted(r.feature for r in shares) == sorted(FEATURES) and {r.importance for r in shares} == {0.0}
+
+
 def test_variations_share_models(parts):
     variations = [
         model.Variation("one", SMALL, 0.45), model.Variation("two", SMALL, 0.40),

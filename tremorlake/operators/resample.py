@@ -166,10 +166,15 @@ def resample(
     label: str = TARGET,
     seed: int = SEED,
     box_points: int = BOX_POINTS,
+    one_class: bool = False,
 ) -> DataFrame:
-    """Oversample, drop both ends of every link, and give the columns their types back."""
+    """Oversample, drop both ends of every link, and give the columns their types back.
+
+    With ``one_class`` rows of fewer than two classes, which have no links either, stay as they are.
+    """
     types = dict(rows.dtypes)
-    balanced = cut_lineage(smote_oversample(rows, features, label, seed=seed, box_points=box_points), "balanced")
+    made = smote_oversample(rows, features, label, seed=seed, box_points=box_points, one_class=one_class)
+    balanced = cut_lineage(made, "balanced")
     columns = [F.get("v", F.lit(i)).alias(f) for i, f in enumerate(features)]
     wide = balanced.select("id", F.col("y").alias(label), "synthetic", *columns)
     links = tomek_links(wide, features, label, box_points)

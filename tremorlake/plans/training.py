@@ -37,7 +37,8 @@ def prepare_train_test(features: DataFrame, test_size: float = TEST_SIZE) -> tup
 
 
 def resampled_train(train: DataFrame) -> DataFrame:
-    return cut_lineage(resample(keyed(train, KEYS)), "train")
+    """Balanced training rows; a lone class has nothing to be balanced with and is trained on as it is."""
+    return cut_lineage(resample(keyed(train, KEYS), one_class=True), "train")
 
 
 def run_variations(
