@@ -10,9 +10,10 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from tremorlake.llm import bpe, shards, token_files, topk, warc
+from tremorlake.llm import bpe, chunks, shards, token_files, topk, warc
 from tremorlake.llm.backtracking import WordVocabulary
 from tremorlake.session import new_path
 
@@ -50,6 +51,23 @@ def test_columns(table, library):
     assert bpe.digests(df.limit(0)).count() == 0
 
 
+ODD = ["", None, " \n", "Über ÜBER über,", "x\x1cy\u0085z\u2003w\x0bv\x0cu", "e\u0301 \u0301e Ǆ Ŀ ŀ ŉ İi ſ ẞß", "a*** b$$$ c%%% d&&& e### #f &amp; g.#*", "<|endoftext|> q<|endoftext|>r <|", "don't 'LL I'm", "z" * 200]
+
+
+def test_library_encoder_asks_once_for_each_chunk(library, monkeypatch):
+    """Blocks of a few bytes, nulls, repeated chunks, white space of other kinds: the whole text's ids by the library."""
+    monkeypatch.setattr(chunks, "BLOCK", 40)
+    encoder, texts = token_files.LibraryEncoder(PATH), ODD * 2 + ["new Word word! " * 30]
+    blocks = list(chunks.blocks(pa.array([None, *texts])[1:]))
+    assert len(blocks) > 5 and [n for n, _ in blocks] == np.cumsum([0, *(len(b) for _, b in blocks)])[:-1].tolist()
+    packed = [ids for _, block in blocks for ids in encoder.encode(block).to_pylist()]
+    assert [np.frombuffer(p, "<u2").tolist() for p in packed] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    asked = []
+    chunks.joined_ids(pa.array(["b a b", "a"], pa.large_string()), lambda some: asked.append(some) or [b""] * len(some))
+    assert asked == [["b", "a"]]
+    assert chunks.joined_ids(pa.array([], pa.large_string()), lambda some: []).to_pylist() == []
+
+
 def test_token_files(spark, table, library):
     keys = [5, 3, None, 9, 9, 7, 1, 2]
     df = table(list(zip(keys, TEXTS)), "doc_id long, text string")

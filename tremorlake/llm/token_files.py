@@ -21,25 +21,24 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.backtracking import split_white
 from tremorlake.llm.bpe import word_vocabulary
+from tremorlake.llm.chunks import blocks, joined_ids
 from tremorlake.llm.shards import new_file, open_at, open_buffered, qualified, segments
 from tremorlake.llm.worker import Known, held
 from tremorlake.operators.ranking import running_before
 from tremorlake.session import cut_lineage, new_path
 
 END_ID = 1
-# Characters encoded at a time, which bounds what one step holds.
-BLOCK = 2_000_000
 _MASK = 0xA282EAD8
 _KNOWN = 160 << 20
 # Marks that end a chunk and are words of their own after a letter of this range.
-_MARKS = ".,;:!?"
+_MARKS = ".,;:!?#*$%&"
 # Without the one letter whose lower case is two characters.
 _LETTER = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]")
 _WORD = re.compile(_LETTER.pattern + "+")
@@ -93,11 +92,18 @@ class LibraryEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # For lower-case words of letters: no normal form and no pattern, white space ends words.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.no_truncation()
+        self.plain.no_padding()
+        self.plain.normalizer = normalizers.Sequence([])
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), spelled])
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.known = Known(_KNOWN)
         suffix = self.tokenizer.model.end_of_word_suffix
@@ -108,21 +114,26 @@ class LibraryEncoder:
         """Encode words of letters in one call; each has one token with the mark of a word's end, its last."""
         import numpy as np
 
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, kind)
+        (found,) = self.plain.encode_batch_fast([" ".join(words).lower()], add_special_tokens=False)
+        ids = np.array(found.ids, kind)
         ends = (np.nonzero(self.ends[ids])[0] + 1) * ids.itemsize
         if len(ends) != len(words):
             raise ValueError("the vocabulary doesn't end each word with a token of its own")
         raw, cuts = ids.tobytes(), [0, *ends.tolist()]
         self.known.put_all(words, [raw[i:j] for i, j in zip(cuts, cuts[1:])])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> pa.Array:
+        found = joined_ids(texts, self._ids_of)
+        self.known.trim()
+        return found
+
+    def _ids_of(self, chunks: list[str]) -> list[bytes]:
         kind = "I" if self.wide else "H"
-        split = [split_white(t) for t in texts]
-        new = set().union(*split).difference(self.known)
+        new = set(filterfalse(self.known.__contains__, chunks))
         words = list(filter(_WORD.fullmatch, new))
         # Any other chunk is a stem and the marks after it.
         parts = {c: _stem_and_marks(c) for c in new.difference(words)}
-        more = {p for pair in parts.values() for p in pair}.difference(self.known, words)
+        more = set(filterfalse(self.known.__contains__, chain.from_iterable(parts.values()))).difference(words)
         stems = list(filter(_WORD.fullmatch, more))
         rest = list(more.difference(stems))
         found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
@@ -132,21 +143,7 @@ class LibraryEncoder:
             self._learn(words[first : first + _TOGETHER], kind)
         whole = [c for c, (_, marks) in parts.items() if marks]
         self.known.put_all(whole, [self.known[stem] + self.known[marks] for stem, marks in map(parts.get, whole)])
-        get = self.known.__getitem__
-        out = [b"".join(map(get, chunks)) for chunks in split]
-        self.known.trim()
-        return out
-
-
-def _blocks(ids: list, texts: list[str]) -> Iterator[tuple[list, list[str]]]:
-    first = size = 0
-    for n, text in enumerate(texts):
-        size += len(text)
-        if size >= BLOCK:
-            yield ids[first : n + 1], texts[first : n + 1]
-            first, size = n + 1, 0
-    if first < len(texts):
-        yield ids[first:], texts[first:]
+        return list(map(self.known.__getitem__, chunks))
 
 
 INDEX = "shard int, path string, record bigint, doc_id bigint, offset bigint, n_tokens bigint, shard_start bigint"
@@ -176,10 +173,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
         with new_file(folder, ".ids") as (name, out), new_file(folder, ".idx") as (_, index):
             offset = record = start = 0
             for batch in rest():
-                keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-                for some, block in _blocks(keys, texts):
+                keys = batch.column(0).to_pylist()
+                for begin, block in blocks(batch.column(1)):
                     rows = []
-                    for key, ids in zip(some, encoder.encode(block)):
+                    for key, ids in zip(keys[begin : begin + len(block)], encoder.encode(block).to_pylist()):
                         payload = struct.pack("<?Bq", key is not None, width, key or 0) + ids + end
                         out.write(frame := framed(payload))
                         index.write(struct.pack("<Q", offset))
