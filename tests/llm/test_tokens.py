@@ -13,7 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from tremorlake.llm import bpe, chunks, shards, token_files, topk, warc
+from tremorlake.llm import backtracking, bpe, chunks, shards, token_files, topk, warc
 from tremorlake.llm.backtracking import WordVocabulary
 from tremorlake.session import new_path
 
@@ -68,6 +68,17 @@ def test_library_encoder_asks_once_for_each_chunk(library, monkeypatch):
     assert chunks.joined_ids(pa.array([], pa.large_string()), lambda some: []).to_pylist() == []
 
 
+def test_words_beyond_one_generation_and_block(library, monkeypatch):
+    """Few strings are held, blocks are short, and chunks are their own words, other words or many."""
+    monkeypatch.setattr(chunks, "BLOCK", 40)
+    monkeypatch.setattr(backtracking, "_STRINGS", 5)
+    ours, texts = WordVocabulary(PATH), ODD * 2 + ["new Word word! \x01a " * 30]
+    packed = [ids for _, block in chunks.blocks(pa.array(texts)) for ids in chunks.joined_ids(block, ours.encode_all).to_pylist()]
+    assert packed == [ours.encode(t or "") for t in texts]
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(ours.strings.young) <= 5 and len(ours.strings.old) <= 5
+
+
 def test_token_files(spark, table, library):
     keys = [5, 3, None, 9, 9, 7, 1, 2]
     df = table(list(zip(keys, TEXTS)), "doc_id long, text string")

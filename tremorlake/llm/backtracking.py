@@ -18,8 +18,8 @@ from array import array
 # Moves the last symbol of a word to symbols of its own, as the vocabulary has ends of words.
 _END = 0x8000
 _MOST_PAIRS = 400_000
-# Strings of one generation: white-space chunks, and words within them.
-_CHUNKS, _WORDS = 150_000, 250_000
+# Strings of one generation: white-space chunks and words within them. A word is a chunk with the same ids.
+_STRINGS = 400_000
 _LONGEST_HELD = 64
 
 
@@ -218,7 +218,7 @@ class WordVocabulary:
         self.special = {t["content"]: t["id"] for t in added}
         in_order = sorted(self.special, key=len, reverse=True)
         self.borders = re.compile("(" + "|".join(map(re.escape, in_order)) + ")") if in_order else None
-        self.chunks, self.held_words = Held(_CHUNKS), Held(_WORDS)
+        self.strings = Held(_STRINGS)
         tokens = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         # The decoder puts one space between tokens, so each entry ends in one.
         entries = [(tokens[i] + " ").encode() if i in tokens else b"" for i in range(max(tokens) + 1)]
@@ -229,23 +229,30 @@ class WordVocabulary:
         self.offsets = offsets
 
     def _word(self, word: str) -> bytes:
-        ids = self.held_words.young.get(word) or self.held_words.get(word)
+        ids = self.strings.young.get(word) or self.strings.get(word)
         if ids is None:
-            symbols = word.encode().decode("latin-1").translate(self.symbols)
-            ids = array("I", self.bpe.encode(symbols)).tobytes()
-            self.held_words.put(word, ids)
+            ids = self._spelled(word)
+            self.strings.put(word, ids)
         return ids
 
+    def _spelled(self, word: str) -> bytes:
+        # Letters and the other visible ASCII characters stand for themselves.
+        plain = word.isascii() and word.isprintable()
+        symbols = word if plain else word.encode().decode("latin-1").translate(self.symbols)
+        return array("I", self.bpe.encode(symbols)).tobytes()
+
     def _piece(self, chunk: str) -> bytes:
         """Beyond Latin letters, normal form and words come from the tokenizer's own parts: Unicode tables differ by version."""
         if chunk.isascii() or not _BEYOND.search(chunk):
             words = self.words.findall(chunk.lower())
         else:
             words = [w for w, _ in self.pieces.pre_tokenize_str(self.normal.normalize_str(chunk))]
+        if words == [chunk]:
+            return self._spelled(chunk)
         return self._word(words[0]) if len(words) == 1 else b"".join(map(self._word, words))
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = self.chunks.get(chunk)
+        ids = self.strings.get(chunk)
         if ids is None:
             if "<" in chunk and self.borders:
                 parts = self.borders.split(chunk)
@@ -254,17 +261,22 @@ class WordVocabulary:
                 )
             else:
                 ids = self._piece(chunk)
-            self.chunks.put(chunk, ids)
+            self.strings.put(chunk, ids)
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, four bytes each. White space only ends words, so it is cut there first."""
         out = []
         for chunk in split_white(text):
-            ids = self.chunks.young.get(chunk)
+            ids = self.strings.young.get(chunk)
             out.append(self._chunk(chunk) if ids is None else ids)
         return b"".join(out)
 
+    def encode_all(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without white space."""
+        young = self.strings.young.get
+        return [self._chunk(c) if (ids := young(c)) is None else ids for c in chunks]
+
     def decode(self, ids: bytes, block: int = 1 << 18) -> bytes:
         """UTF-8 text of ids: each token's bytes are copied from its place in the table."""
         import numpy as np

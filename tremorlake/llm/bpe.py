@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorlake.llm.backtracking import WordVocabulary
+from tremorlake.llm.chunks import blocks, joined_ids
 from tremorlake.llm.worker import held
 
 
@@ -37,7 +38,8 @@ def encoded(text: str | Column, path: str) -> Column:
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
         vocabulary = _vocabulary(path)
-        return pa.array([vocabulary.encode(t.as_py() or "") for t in texts], pa.binary())
+        parts = [joined_ids(block, vocabulary.encode_all) for _, block in blocks(texts)]
+        return pa.concat_arrays(parts or [pa.array([], pa.large_binary())]).cast(pa.binary())
 
     return encode(text)
 
