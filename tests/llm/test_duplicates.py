@@ -164,6 +164,27 @@ def test_common_passages_against_all_stretches():
     assert found > 30
 
 
+def test_passage_of_two_that_share_another_with_the_first(table):
+    """Three texts share one passage and two of them a second, of which the first text holds every anchor's words."""
+    shared, second = ([f"{name}{n}" for n in range(55)] for name in "pq")
+
+    def filled(name):
+        return [f"{name}{n}" for n in range(40)]
+
+    b, c = (shared + filled(x) + second + filled(x + "z") for x in "bc")
+    keys = lambda words: dict(zip(*(x.tolist() for x in passages.windows([" ".join(words)])[::2])))
+    of_b, of_c, first = keys(b), keys(c), shared
+    for key, place in of_b.items():
+        if key in of_c and place >= 55:
+            around = (filled(f"a{place}_{n}_") + b[place : place + 5] + filled(f"e{place}_{n}_") for n in range(1000))
+            first = first + next(x for x in around if key in keys(x))
+    assert {k for k, place in of_b.items() if k in of_c} <= set(keys(first))
+    texts = [" ".join(x) for x in (first, b, c)]
+    got = passages.repeated_passages(table([(n, t) for n, t in enumerate(texts)], "doc_id long, text string").coalesce(1)).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in got} == {(0, 1), (0, 2), (1, 2)}
+    assert any(r.doc_id == 1 and r.first_word <= 95 and r.first_word + r.n_words >= 150 for r in got)
+
+
 def test_passages(table):
     rng = np.random.default_rng(3)
     word = lambda n: " ".join(f"u{x}" for x in rng.integers(0, 10**9, n))
