@@ -375,3 +375,44 @@ def test_shingle_digests_keep_a_lines_shingles():
         a, b = set(line_dedup.shingle_digests(one).tolist()), set(line_dedup.shingle_digests(other).tolist())
         x, y = line_dedup.shingles(one), line_dedup.shingles(other)
         assert len(a) == len(x) and len(a & b) == len(x & y)
+
+
+def test_pairs_of_lines_are_judged_by_their_shingles():
+    rng = np.random.default_rng(6)
+    bases = ["".join(rng.choice(list("ab é\U0001f600"), int(rng.integers(0, 300)))) for _ in range(60)]
+    ones, others = [], []
+    for base in bases:
+        for _ in range(20):
+            at, n = int(rng.integers(0, len(base) + 1)), int(rng.integers(0, 8))
+            ones.append(base)
+            others.append(base[:at] + "x" * n + base[at + n :])
+    ones += ["", "", "abc", "abc", "abcdefgh", "a" * 50]
+    others += ["", "\0" * 8, "abc", "abc\0\0\0\0\0", "abcdefg", "a" * 8]
+    wanted = [line_dedup.alike(line_dedup.shingles(x), line_dedup.shingles(y)) for x, y in zip(ones, others)]
+    assert list(line_dedup.alike_pairs(ones, others)) == wanted and 100 < sum(wanted) < len(wanted) - 100
+    # One sum of products would let some of these shingles meet.
+    words = " ".join("".join(rng.choice(list("estrnoad"), 6)) for _ in range(20_000))
+    assert len(line_dedup.shingle_digests(words)) == len(line_dedup.shingles(words))
+
+
+def test_a_pair_is_compared_once(table):
+    """Groups of two need no more than the comparison with the first; others compare each pair left once."""
+    sets = {n: set(range(10 * n, 10 * n + 10)) for n in range(6)}
+    sets[5] = sets[4] | {99}
+    texts = [(n, " ".join(map(str, sorted(x)))) for n, x in sets.items()]
+    rows = [(k, n) for k in (1, 2) for n in (0, 3, 4, 5)] + [(3, 1), (3, 2)]
+    seen = []
+
+    def verify(pairs):
+        kept = [(r.a, r.b) for r in pairs.collect()]
+        seen.extend(kept)
+        return table([p for p in kept if p == (4, 5)], "a long, b long")
+
+    def elements(text):
+        raise AssertionError("small groups need no block")
+
+    members = graph.shared_keys(table(rows, "key long, node long"))
+    links, roots = graph.linked(members, verify, table(texts, "node long, content string"), elements, 0.8)
+    assert sorted(seen) == [(0, 3), (0, 4), (0, 5), (1, 2), (3, 4), (3, 5), (4, 5)]
+    assert [tuple(r) for r in links.collect()] == [(4, 5)]
+    assert {r.node: r.root for r in roots.collect()} == {4: 4, 5: 4}

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.graph import join_narrow, linked, shared_keys
+from tremorlake.llm.graph import join_narrow, linked, met_contents, shared_keys
 from tremorlake.llm.places import FILE, PLACE, ROW, with_place
 from tremorlake.llm.words import mixed, run_digests
 from tremorlake.session import cut_lineage
@@ -161,11 +161,11 @@ def _signed(named: DataFrame) -> DataFrame:
     return named.mapInArrow(sign, _SIGNED)
 
 
-def _verifier(named: DataFrame):
+def _verifier(contents: DataFrame):
+    """Keeps the pairs of nodes whose texts are alike."""
+
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-        wanted = join_narrow(named.select("node", "text"), nodes, "node", "left_semi")
-        texts = cut_lineage(wanted.groupBy("node").agg(F.first("text").alias("text")), "node-texts")
+        texts = contents.withColumnRenamed("content", "text")
         with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
         with_both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
 
@@ -190,13 +190,9 @@ def classes(docs: DataFrame, key: str | None = "doc_id", text: str = "text") ->
     named = _named(docs, key, text)
     signed = cut_lineage(_signed(named), "signed-texts")
     rows = signed.select(F.explode("keys").alias("key"), "node")
-    _, roots = linked(
-        shared_keys(rows),
-        _verifier(named),
-        named.select("node", F.col("text").alias("content")),
-        bag_elements,
-        SIMILARITY,
-    )
+    members = shared_keys(rows)
+    contents = met_contents(members, named.select("node", F.col("text").alias("content")))
+    _, roots = linked(members, _verifier(contents), contents, bag_elements, SIMILARITY)
     placed = join_narrow(signed.select(*PLACE, "id", "node"), roots, "node", "left")
     return cut_lineage(placed.select(*PLACE, "id", F.coalesce("root", "node").alias("root")), "classes")
 

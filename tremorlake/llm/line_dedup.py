@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorlake.llm.graph import join_narrow, linked, shared_keys
+from tremorlake.llm.graph import join_narrow, linked, met_contents, shared_keys
 from tremorlake.llm.places import FILE, PLACE, ROW, with_place
 from tremorlake.llm.worker import held
 from tremorlake.session import cut_lineage
@@ -36,7 +36,7 @@ SIMILARITY = 0.8
 # Characters signed at a time: their digests stay in the processor's cache.
 BLOCK = 1 << 18
 
-_SIGNED = f"{FILE} bigint, {ROW} bigint, place int, node bigint, keys array<bigint>"
+_SIGNED = f"{FILE} bigint, {ROW} bigint, place int, node bigint, line string, keys array<bigint>"
 
 
 def _mixed(x):
@@ -117,16 +117,68 @@ def shingles(line: str, shingle: int = SHINGLE) -> set[str]:
     return {line[i : i + shingle] for i in range(max(1, len(line) - shingle + 1))}
 
 
+def joined_shingles(lines: list[str], shingle: int = SHINGLE):
+    """64-bit digests of the shingles of many lines in one array, repeated ones too, and how many each line has."""
+    import numpy as np
+
+    if shingle & (shingle - 1):
+        raise ValueError("the length of a shingle must be a power of two")
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    padding = "\0" * shingle
+    rolled = np.frombuffer((padding.join(lines) + padding * 2).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    # Digests of runs of 1, 2, 4, ... characters up to a shingle. Shifts between the steps keep sums of
+    # few multiples from meeting, as one sum of products would let them.
+    width = 1
+    while width < shingle:
+        rolled = rolled[:-width] * np.uint64(0x9E3779B97F4A7C15) + rolled[width:]
+        rolled ^= rolled >> np.uint64(32)
+        rolled *= np.uint64(0xD6E8FEB86659FD93)
+        rolled ^= rolled >> np.uint64(29)
+        width *= 2
+    counts = np.maximum(1, lengths - shingle + 1)
+    begins, firsts = np.cumsum(lengths + shingle) - lengths - shingle, np.cumsum(counts) - counts
+    rolled = rolled[np.arange(counts.sum()) + np.repeat(begins - firsts, counts)]
+    # A shorter line is told by its length from one that ends with zeros.
+    missing = np.maximum(0, shingle - lengths).astype(np.uint64)
+    rolled[firsts] += missing * np.uint64(0xD6E8FEB86659FD93)
+    return _mixed(rolled), counts
+
+
+def shingle_sets(lines: list[str], shingle: int = SHINGLE) -> list:
+    """Distinct 64-bit digests of each line's shingles, in order."""
+    import numpy as np
+
+    digests, counts = joined_shingles(lines, shingle)
+    ends, sets = np.cumsum(counts).tolist(), []
+    for low, high in zip([0, *ends], ends):
+        some = np.sort(digests[low:high])
+        sets.append(some[np.concatenate(([True], some[1:] != some[:-1]))])
+    return sets
+
+
 def shingle_digests(line: str, shingle: int = SHINGLE):
     """Distinct 64-bit digests of a line's shingles."""
+    return shingle_sets([line], shingle)[0]
+
+
+def alike_pairs(ones: list[str], others: list[str], similarity: float = SIMILARITY):
+    """For each pair of lines whether their sets of shingles are alike, for many pairs at once."""
     import numpy as np
 
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-    size = min(shingle, len(codes))
-    rolled = np.zeros(len(codes) - size + 1, np.uint64)
-    for n in range(size):
-        rolled = _mixed(rolled * np.uint64(0x9E3779B97F4A7C15) + codes[n : n + len(rolled)] + np.uint64(1))
-    return np.unique(rolled)
+    lines = list(dict.fromkeys(ones + others))
+    number = dict(zip(lines, range(len(lines))))
+    sets, out = shingle_sets(lines), []
+    for one, other in zip(ones, others):
+        one, other = sets[number[one]], sets[number[other]]
+        n, m = len(one), len(other)
+        if min(n, m) < similarity * max(n, m):
+            out.append(False)
+            continue
+        met = np.concatenate((one, other))
+        met.sort()
+        both = int(np.count_nonzero(met[1:] == met[:-1]))
+        out.append(both >= similarity * (n + m - both))
+    return out
 
 
 def alike(one: set, other: set, similarity: float = SIMILARITY) -> bool:
@@ -141,7 +193,7 @@ def exploded(docs: DataFrame, text: str) -> DataFrame:
     """``__file, __row, place, line, node``: every line that isn't blank."""
     rows = with_place(docs.select(F.col(f"`{text}`").alias("text")))
     lines = rows.select(*PLACE, F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    return lines.filter(F.trim(F.translate("line", "\t\r\x0b\f", "    ")) != "").withColumn("node", F.xxhash64("line"))
+    return lines.filter(F.col("line").rlike(r"[^ \t\r\x0b\f]")).withColumn("node", F.xxhash64("line"))
 
 
 def _signed(lines: DataFrame) -> DataFrame:
@@ -165,25 +217,25 @@ def _signed(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(sign, _SIGNED)
 
 
-def _verifier(lines: DataFrame):
+def _verifier(contents: DataFrame):
     """Keeps the pairs of nodes whose lines are alike."""
 
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-        wanted = join_narrow(lines.select("node", "line"), nodes, "node", "left_semi")
-        texts = cut_lineage(wanted.groupBy("node").agg(F.first("line").alias("line")), "node-lines")
-        with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("line").alias("b_line")), "b")
-        with_both = with_b.join(texts.select(F.col("node").alias("a"), F.col("line").alias("a_line")), "a")
+        with_b = pairs.join(contents.select(F.col("node").alias("b"), F.col("content").alias("b_line")), "b")
+        with_both = with_b.join(contents.select(F.col("node").alias("a"), F.col("content").alias("a_line")), "a")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, its = None, set()
             for batch in batches:
-                keep = []
-                for one, other in zip(batch.column("a_line").to_pylist(), batch.column("b_line").to_pylist()):
-                    if one != last:
-                        last, its = one, shingles(one)
-                    keep.append(alike(its, shingles(other)))
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                ones, others = batch.column("a_line").to_pylist(), batch.column("b_line").to_pylist()
+                first = 0
+                while first < len(ones):
+                    size, last = 0, first
+                    while last < len(ones) and size < BLOCK // 4:
+                        size += len(ones[last]) + len(others[last])
+                        last += 1
+                    keep = pa.array(alike_pairs(ones[first:last], others[first:last]), pa.bool_())
+                    yield batch.select(["a", "b"]).slice(first, last - first).filter(keep)
+                    first = last
 
         return with_both.select("a", "b", "a_line", "b_line").mapInArrow(compare, "a bigint, b bigint")
 
@@ -192,25 +244,20 @@ def _verifier(lines: DataFrame):
 
 def doomed_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """``__file, __row, place``: the lines to take out of a stored table."""
-    lines = exploded(docs, text)
-    signed = cut_lineage(_signed(lines.select(*PLACE, "place", "node", "line")), "signed-lines")
+    # Lines are kept with their keys, so texts are cut once.
+    signed = cut_lineage(_signed(exploded(docs, text).select(*PLACE, "place", "node", "line")), "signed-lines")
     # A line that stands more than once would repeat its bands; the keys are told apart per node later.
-    rows = signed.select(F.explode("keys").alias("key"), "node")
-    _, roots = linked(
-        shared_keys(rows),
-        _verifier(lines),
-        lines.select("node", F.col("line").alias("content")),
-        shingle_digests,
-        SIMILARITY,
-    )
-    at = F.struct(*PLACE, "place")
-    met = signed.groupBy("node").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("times"))
+    members = shared_keys(signed.select(F.explode("keys").alias("key"), "node"))
+    contents = met_contents(members, signed.select("node", F.col("line").alias("content")))
+    _, roots = linked(members, _verifier(contents), contents, shingle_sets, SIMILARITY, together=True)
     # Only lines that stand more than once or are linked can lose; all others are left out here.
-    placed = met.join(roots, "node", "left").filter("times > 1 or root is not null")
-    placed = cut_lineage(placed.select("node", F.coalesce("root", "node").alias("root"), "first"), "met-lines")
-    heads = placed.groupBy("root").agg(F.min("first").alias("stays"))
-    decided = cut_lineage(placed.join(heads, "root").select("node", "stays"), "decided-lines")
-    return join_narrow(signed, decided, "node").filter(at != F.col("stays")).select(*PLACE, "place")
+    times = signed.groupBy("node").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    wanted = times.join(roots, "node", "full").select("node", F.coalesce("root", "node").alias("root"))
+    placed = join_narrow(signed.select(*PLACE, "place", "node"), cut_lineage(wanted, "met-nodes"), "node")
+    placed = cut_lineage(placed.select(*PLACE, "place", "root"), "met-lines")
+    at = F.struct(*PLACE, "place")
+    heads = cut_lineage(placed.groupBy("root").agg(F.min(at).alias("stays")), "first-lines")
+    return join_narrow(placed, heads, "root").filter(at != F.col("stays")).select(*PLACE, "place")
 
 
 def line_dedup(docs: DataFrame, text: str = "text", removed: str = "n_removed_lines") -> DataFrame:
