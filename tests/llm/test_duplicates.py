@@ -201,6 +201,55 @@ def test_passages(table):
     assert passages.repeated_passages(table([], "doc_id long, text string")).count() == 0
 
 
+def test_sketches_show_all_values_in_common():
+    rng = np.random.default_rng(7)
+    for n in (1, 46, 700, 30_000):
+        one, other = rng.integers(0, 2**63, (2, n)).astype(np.uint64)
+        one[: n // 2] = other[n - n // 2 :]
+        one = np.concatenate((one, one[: n // 3]))
+        got, its = (passages._sketched(passages._sketch(x)) for x in (one, other))
+        assert got.tolist() == sorted(int(x) >> 46 for x in set(one.tolist()))
+        assert passages._common(got, its) >= len(set(one.tolist()) & set(other.tolist()))
+
+
+def test_fewest_values_of_a_stretch():
+    rng = np.random.default_rng(8)
+    for vocabulary in (1, 2, 9, 10**6):
+        x = rng.integers(0, vocabulary, 60)
+        assert passages._least_distinct(x, 8) == min(len(set(x[n : n + 8].tolist())) for n in range(53))
+
+
+def test_texts_that_share_a_line_only_are_not_copied(spark, table, tmp_path, monkeypatch):
+    """What is stored stays below the size of the texts, although every two of them share a key of a common line."""
+    rng, words = np.random.default_rng(9), lambda n: " ".join(f"{x:x}" for x in rng.integers(0, 2**60, n))
+    line = words(20)
+    rows = [(n, f"{words(200)} {line} {words(300)}") for n in range(60)]
+    rows += [(60 + n, f"{rows[n][1][:4000]} {words(100)}") for n in range(2)]
+    docs = table(rows, "doc_id long, text string").coalesce(2)
+    docs.write.parquet(str(tmp_path / "docs"))
+    stored, cut = [], passages.cut_lineage
+
+    def kept(df, name="stage"):
+        out = cut(df, name)
+        stored.extend(Path(f.removeprefix("file:")).stat().st_size for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(passages, "cut_lineage", kept)
+    got = passages.repeated_passages(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    assert {frozenset((r.doc_id, r.other_doc_id)) for r in got} == {frozenset((n, 60 + n)) for n in range(2)}
+    assert sum(stored) < sum(len(t) for _, t in rows)
+
+
+def test_many_texts_beside_one_long_text(table, monkeypatch):
+    monkeypatch.setattr(passages, "HELD", 3)
+    rng, words = np.random.default_rng(10), lambda n: " ".join(f"u{x}" for x in rng.integers(0, 10**9, n))
+    shared = [words(60) for _ in range(20)]
+    rows = [(0, " ".join(shared))] + [(n + 1, f"{words(9)} {x} {words(30)}") for n, x in enumerate(shared)]
+    got = passages.repeated_passages(table(rows, "doc_id long, text string").coalesce(1)).collect()
+    spans = {(r.doc_id, r.first_word, r.n_words, r.other_doc_id, r.other_first_word, r.other_n_words) for r in got}
+    assert spans == {(0, 60 * n, 60, n + 1, 9, 60) for n in range(20)}
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 60, (40, 2))] + [(100, n) for n in range(101, 140)]
