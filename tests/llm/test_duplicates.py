@@ -185,6 +185,59 @@ def test_passage_of_two_that_share_another_with_the_first(table):
     assert any(r.doc_id == 1 and r.first_word <= 95 and r.first_word + r.n_words >= 150 for r in got)
 
 
+@pytest.mark.parametrize("others", [0, 12])
+def test_edited_passage_of_two_whose_anchors_the_others_hold(table, others):
+    """Two texts share 50 words but the middle one. The first and the others hold every anchor's words, and nothing else of the passage."""
+    def filled(name, n=40):
+        return [f"{name}{m}" for m in range(n)]
+
+    keys = lambda words: dict(zip(*(x.tolist() for x in passages.windows([" ".join(words)])[::2])))
+    for n in range(1000):
+        passage = filled(f"p{n}_", 50)
+        b, c = (filled(x) + passage[:25] + [f"{x}-"] + passage[26:] + filled(x + "z") for x in "bc")
+        of_b, shared = keys(b), keys(b).keys() & keys(c).keys()
+        # No anchor has 24 equal words on one side, but some have 16.
+        at = [of_b[key] - 40 for key in shared]
+        if at and all(2 <= x <= 18 or 27 <= x <= 44 for x in at) and any(x <= 9 or 11 <= x <= 18 for x in at):
+            break
+    texts = []
+    for name in range(others + 1):
+        held = []
+        for key in shared:
+            place = of_b[key]
+            around = (filled(f"a{name}_{place}_{n}_") + b[place : place + 5] + filled(f"e{name}_{place}_{n}_") for n in range(1000))
+            held += next(x for x in around if key in keys(x))
+        texts.append(" ".join(held))
+    assert shared and all(shared <= set(keys(x.split())) for x in texts)
+    texts += [" ".join(b), " ".join(c)]
+    got = passages.repeated_passages(table([(n, t) for n, t in enumerate(texts)], "doc_id long, text string").coalesce(1)).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in got} == {(others + 1, others + 2)}
+    assert {(r.first_word <= 64 < r.first_word + r.n_words, r.similarity >= 0.8) for r in got} == {(True, True)}
+
+
+def test_every_alike_pair_beside_a_common_line(spark, table):
+    """Against brute force: texts that all have a line, some of them with near copies of the words around it."""
+    rng, word = np.random.default_rng(12), lambda n: [f"u{x}" for x in rng.integers(0, 10**9, n)]
+    line, texts = word(13), []
+    for n in range(14):
+        before, after = word(24), word(24)
+        for copy in range(2 + n % 2):
+            passage = before + line + after
+            if copy:
+                passage[int(rng.choice([*range(14, 24), *range(37, 47)]))] = word(1)[0]
+            texts.append(word(30) + passage + word(int(rng.integers(0, 40))))
+    digests = [run_digests(" ".join(x), passages.SHINGLE) for x in texts]
+    wanted = {(i, j) for j in range(len(texts)) for i in range(j) if passages.common_passages(digests[i], digests[j])}
+    got = passages.repeated_passages(table([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string").coalesce(1))
+    pairs, sets, expected = {(r.doc_id, r.other_doc_id) for r in got.collect()}, Sets(), Sets()
+    for x, y in pairs:
+        sets.join(x, y)
+    for x, y in wanted:
+        expected.join(x, y)
+    assert pairs <= wanted and len(wanted) > 10
+    assert all(sets.top(x) == sets.top(y) for x, y in wanted)
+
+
 def test_passages(table):
     rng = np.random.default_rng(3)
     word = lambda n: " ".join(f"u{x}" for x in rng.integers(0, 10**9, n))
@@ -201,6 +254,22 @@ def test_passages(table):
     assert passages.repeated_passages(table([], "doc_id long, text string")).count() == 0
 
 
+def test_anchor_places_are_those_of_the_windows():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n, length = int(rng.integers(1, 80)), int(rng.integers(1, 12))
+        hashes = rng.integers(0, int(rng.choice([4, 30, 1000])), n).astype(np.uint64)
+        assert passages._anchor_places(hashes, length).tolist() == sorted(c for c, _, _ in passages.anchors(hashes, length) if hashes[c])
+
+
+def test_sets_of_repeated_lines_are_tried_once():
+    seen, tried = [], {7}
+    room = lambda x: (seen.extend(x.tolist()), x == 4)[1]
+    sets = np.array([5, 7, 5, 8, 9, 8, 9], np.uint64)
+    assert list(passages._roomy(room, tried, sets, np.arange(7))) == [4]
+    assert seen == [0, 3, 4] and tried == {5, 7, 8}
+
+
 def test_sketches_show_all_values_in_common():
     rng = np.random.default_rng(7)
     for n in (1, 46, 700, 30_000):
